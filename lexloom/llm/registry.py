@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = []
+MODULES = ["splitting", "groups", "tokens", "mixing", "lines"]
 
 
 def _modules():
