@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["splitting", "groups", "tokens", "mixing", "lines", "unify", "residue", "scans"]
+MODULES = ["splitting", "groups", "tokens", "mixing", "lines", "unify", "residue", "scans", "names"]
 
 
 def _modules():
