@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FLAGSHIP = "p2_counts"
-MODULES = ["keyed"]
+FLAGSHIP = "tk01_rank_fusion"
+MODULES = ["keyed", "scalars", "relations", "analytics"]
 
 
 def _modules():
