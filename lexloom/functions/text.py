@@ -150,12 +150,30 @@ def disposition(text) -> Column:
     return out
 
 
+# What separates words; letters and marks of other scripts are none of it.
+WHITE = "[\\s\\x0B\\x1C-\\x1F\\x85\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+SOLID = WHITE.replace("[", "[^", 1)
+
+
+def loops(text) -> Column:
+    """Whether a text repeats itself: 4 equal words running, or the same three words in 4 places, case ignored."""
+    low = F.lower(c(text))
+    running = low.rlike(f"(?<!{SOLID})({SOLID}++)(?:{WHITE}++\\1(?!{SOLID})){{3}}")
+    words = F.filter(F.split(low, f"{WHITE}+"), lambda w: w != "")
+    # each array is bound to a lambda variable, else it is computed anew for every element
+    grams = F.transform(F.array(words), lambda w: F.when(F.size(w) >= 6, F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", w[i], w[i + 1], w[i + 2]))))
+    # equal trigrams stand together once sorted: the fourth is three places behind the first
+    often = F.exists(F.transform(grams, lambda g: F.sort_array(g)), lambda g: F.when(F.size(g) >= 4, F.exists(F.sequence(F.lit(0), F.size(g) - 4), lambda i: g[i] == g[i + 3])).otherwise(False))
+    return F.coalesce(running | often, F.lit(False))
+
+
 def quality(text) -> Column:
-    """0.9; -0.5 where under half of the visible characters are letters or digits; -0.3 with replacement characters; 0 for none."""
-    solid = F.length(F.regexp_replace(c(text), "\\s", ""))
+    """0.9; -0.5 where under half of the visible characters are letters or digits; -0.3 with replacement characters; -0.4 where
+    the text loops; not below 0, and 0 for none."""
+    solid = F.length(F.regexp_replace(c(text), WHITE, ""))
     letters = F.length(F.regexp_replace(c(text), "[^\\p{L}\\p{N}]", ""))
-    q = F.lit(0.9) - F.when(letters < solid * 0.5, 0.5).otherwise(0.0) - F.when(c(text).contains("\ufffd"), 0.3).otherwise(0.0)
-    return F.when(F.coalesce(solid, F.lit(0)) == 0, F.lit(0.0)).otherwise(F.round(q, 4))
+    q = F.lit(0.9) - F.when(letters < solid * 0.5, 0.5).otherwise(0.0) - F.when(c(text).contains("\ufffd"), 0.3).otherwise(0.0) - F.when(loops(text), 0.4).otherwise(0.0)
+    return F.when(F.coalesce(solid, F.lit(0)) == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.round(q, 4)))
 
 
 def overlap_area(a, b) -> Column:

@@ -101,6 +101,26 @@ def test_text_functions(spark):
     assert [r[0] for r in q.select(T.quality("t")).collect()] == [0.9, 0.4, 0.0, 0.0]
 
 
+def plain_quality(text):
+    words = (text or "").lower().split()
+    if not words:
+        return 0.0
+    run = any(words[i] == words[i + 1] == words[i + 2] == words[i + 3] for i in range(len(words) - 3))
+    often = max(Counter(zip(words, words[1:], words[2:])).values(), default=0) >= 4
+    solid = "".join(words)
+    mostly = sum(x.isalnum() for x in solid) < 0.5 * len(solid)
+    return max(0.0, round(0.9 - 0.5 * mostly - 0.3 * ("\ufffd" in text) - 0.4 * (run or often), 4))
+
+
+def test_quality_takes_loops_off(spark):
+    rng = random.Random(3)
+    hand = {"no no No NO": 0.5, "no no no": 0.9, "no no no nobody": 0.9, "a b c. a b c. a b c. a b c.": 0.5, "a b c x a b c y a b c z": 0.9, "x " * 6: 0.5, "?! " * 4: 0.0, "so so\u00a0so\u2003so": 0.5, "\u00a0": 0.0}
+    texts = [*hand, *(" ".join(rng.choices("abcd", k=rng.randint(0, 60))) for _ in range(300)), "w " + " ".join(f"w{i}" for i in range(5000)) + " end of it" * 4]
+    got = {r.t: r.q for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.quality("t").alias("q")).collect()}
+    assert {t: got[t] for t in hand} == hand
+    assert got == {t: plain_quality(t) for t in texts}
+
+
 def test_sources(spark, tmp_path):
     names = files.output_names(spark.createDataFrame([("/x/a/one.pdf",), ("/x/b/one.pdf",), ("/x/b/two.pdf",)], "path string"))
     got = {r.path: r.output for r in names.collect()}
