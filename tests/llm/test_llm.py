@@ -221,6 +221,14 @@ def test_a_tie_holds_when_one_of_the_two_has_merged(spark):
     assert parties_of(spark, spelt[1:]) == [sorted(spelt[1:])]
 
 
+def test_two_own_words_join_their_organisation(spark):
+    orgs = ["Creltadom Leiyak Engineering Works Limited", "CRELTADOM LEIYAK ENGG. WKS. LTD."]
+    assert parties_of(spark, [*orgs, "Creltadom Leiyak", "Creltadom-Leiyak", "Robert Tugudhuri"]) == [sorted([*orgs, "Creltadom Leiyak", "Creltadom-Leiyak"])]
+    # two organisations of these words, or an organisation and a person: neither
+    assert parties_of(spark, [*orgs, "Creltadom Leiyak Textile Mills", "Creltadom Leiyak"]) == [sorted(orgs)]
+    assert parties_of(spark, [*orgs, "Creltadom Middle Leiyak", "Creltadom Leiyak"]) == [sorted(orgs)]
+
+
 def test_difference_and_numbers():
     assert scans.difference("cliarge", "charge") == ("h", "li")
     assert scans.difference("assessmcnt", "assessment") == ("e", "c")
