@@ -236,6 +236,19 @@ def test_difference_and_numbers():
     assert scans.likeness("abcd", "abcd") == 1.0 and scans.likeness("", "a") == 0.0
 
 
+def test_every_single_confusion_meets_its_word(spark):
+    rng = random.Random(4)
+    known = {"".join(rng.choices("handeclirumtosgwyb", k=rng.randint(3, 8))) for _ in range(400)} | {"handed", "entered", "rendered", "licensing"}
+    bad = {(w[:i] + b + w[i + len(a) :], w) for w in known for a, b in scans.CONFUSED for i in range(len(w)) if w.startswith(a, i)}
+    bad = {(t, w) for t, w in bad if t not in known}
+    words = spark.createDataFrame([(t, 1) for t in {t for t, _ in bad}], "word string, n bigint")
+    counts = spark.createDataFrame([(w, 100) for w in known], "word string, n bigint")
+    got = {(r.word, r.other) for r in scans.candidates(words, counts).collect()}
+    assert ("hancled", "handed") in bad and not bad - got
+    asked = spark.createDataFrame([("2o2o", 1), ("h@nclecl", 1), ("h@ndcd", 1)], "word string, n bigint")
+    assert {(r.word, r.other) for r in scans.candidates(asked, spark.createDataFrame([("zozo", 100), ("handed", 100)], "word string, n bigint")).collect()} == {("h@ndcd", "handed")}
+
+
 def test_scan_defects(spark):
     rng = random.Random(8)
     words = ["appearance", "assessment", "respondent", "judgment", "property", "landlord", "considered", "objection", "without", "because", "witness", "statement"]
