@@ -75,12 +75,21 @@ def instrument_kind(title) -> Column:
     return F.when(t.rlike("^(the )?code\\b"), F.lit("code")).otherwise(F.try_element_at(found, F.lit(-1)))
 
 
+# Phrases around a party's name that tell nothing of it, in order, and words that tell nothing.
+PARTY_NOISE = [
+    "\\b(?:and|&)\\s+(?:\\d+|one|two|three|four|five|six|seven|eight|nine|ten|another|others?)\\b(?:\\s+others?)?", "\\betc\\b\\.?", "\\bthrough\\b.*$", "\\bthr\\b\\.?.*$",
+    "\\(since\\s+dec(?:ease)?d\\)", "\\blrs\\b\\.?", "\\bm/s\\b\\.?", "\\bmessrs\\b\\.?", "\\bmst\\b\\.?", "\\bmr\\b\\.?", "\\bsyed\\b", "\\bch\\b\\.?", "^\\s*the\\s+", "\\b(?:pvt|private|ltd|limited)\\b\\.?",
+]
+PARTY_STOP = "and of the through thr v vs versus others another etc in for".split()
+
+
 def party_key(name) -> Column:
-    """A party for comparison: lower case, noise phrases out, letters and single blanks only."""
-    t = F.lower(c(name))
-    for noise in ("\\(deceased\\).*$", "\\b(through|thr\\.?) .*$", "\\b(m/s\\.?|messrs|mst\\.?|mr\\.?|dr\\.?|ch\\.?|haji)( |$)", "(and|&) ([0-9]+ )?(others?|another)", "\\betc\\.?", "[^a-z ]"):
-        t = F.regexp_replace(t, noise, " ")
-    return F.trim(F.regexp_replace(t, " +", " "))
+    """A party for comparison: lower case, noise phrases and stopwords out, letters and single blanks only."""
+    t = F.translate(F.lower(c(name)), "\ufffd", " ")
+    for noise in PARTY_NOISE:
+        t = F.regexp_replace(t, "(?U)" + noise, " ")
+    words = F.split(F.regexp_replace(t, "[^a-z ]+", " "), " +")
+    return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(PARTY_STOP)), " ")
 
 
 def act_short(title) -> Column:

@@ -121,6 +121,15 @@ def test_quality_takes_loops_off(spark):
     assert got == {t: plain_quality(t) for t in texts}
 
 
+def test_party_key_drops_noise_and_stopwords(spark):
+    want = {
+        "The Federation of Pakistan through Secretary": "federation pakistan", "M/s. Alpha Mills (Pvt.) Ltd. and 2 others": "alpha mills", "Syed Nasir & others": "nasir",
+        "Mst. Hina and another": "hina", "Ali (since deceased) LRs": "ali", "Beta Private Limited etc.": "beta", "": "",
+    }
+    got = {r.t: r.k for r in spark.createDataFrame([(t,) for t in want], "t string").select("t", T.party_key("t").alias("k")).collect()}
+    assert got == want
+
+
 def test_sources(spark, tmp_path):
     names = files.output_names(spark.createDataFrame([("/x/a/one.pdf",), ("/x/b/one.pdf",), ("/x/b/two.pdf",)], "path string"))
     got = {r.path: r.output for r in names.collect()}
