@@ -178,3 +178,20 @@ def test_every_core_query_agrees_with_its_sql(spark):
         if sql and norm(got) != norm(con.execute(sql).df()):
             bad.append(name)
     assert not bad
+
+
+def test_scopes_delete_what_they_do_not_keep(spark):
+    from lexloom.session import _LEFT, Scope, lookup, materialise, sweep
+
+    before = set(_LEFT)
+    with Scope() as scope:
+        lost = materialise(spark.range(3), "lost")
+        kept = scope.keep(materialise(spark.range(4), "kept", n=F.count(F.lit(1)), most=F.max("id")))
+    assert kept.counts == {"n": 4, "most": 3} and kept.count() == 4
+    assert lost._lexloom_path not in _LEFT and {kept._lexloom_path} == _LEFT - before
+    rows = spark.range(1000).selectExpr("IF(id % 2 = 0, 'hot', concat('k', id)) AS key", "id")
+    table = rows.select("key").distinct().withColumn("v", F.length("key"))
+    joined = lookup(rows, table, "key", 501, hot=100, limit=0)
+    assert joined.count() == 1000 and joined.filter("key = 'hot'").count() == 500
+    assert lookup(rows, table.filter("key = 'hot'"), "key", 1, "left", hot=100, limit=0).filter("v IS NULL").count() == 500
+    assert sweep(spark) >= 1 and not _LEFT
