@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.session import broadcast_if_small, materialise
+from lexloom.session import Scope, broadcast_if_small, materialise
 
 _POS = (1 << 33) - 1
 
@@ -73,7 +73,8 @@ def key_counts(df: DataFrame, key: str, size: int = 100_000) -> DataFrame:
 
 def heavy_keys(df: DataFrame, key: str, share: float = 0.05, size: int = 100_000) -> DataFrame:
     """key_value, n_rows: the non-null keys with at least `share` of all rows (null keys count in the total only)."""
-    counts = materialise(key_counts(df, key, size), "counts")
+    with Scope() as scope:
+        counts = scope.keep(materialise(key_counts(df, key, size), "counts"))
     total = counts.agg(F.sum("n_rows").alias("_total"))
     return (
         counts.filter(F.col(key).isNotNull())
@@ -90,6 +91,11 @@ def gap_profile(df: DataFrame, key: str, time: str, tie: str, size: int = 100_00
     chunks of a key in order adds the gaps between chunks. Rows without a time take no part in the gaps but are counted;
     a key with fewer than two times has gap 0.
     """
+    with Scope() as scope:
+        return scope.keep(materialise(_gap_profile(df, key, time, tie, size), "gaps"))
+
+
+def _gap_profile(df: DataFrame, key: str, time: str, tie: str, size: int) -> DataFrame:
     ordered = number_rows(df, [key], [time, tie], columns=[key, time, tie])
     timed = ordered.select(F.col(key).alias("k"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"), "row_no")
     chunk = timed.withColumn("chunk_no", F.floor(F.col("row_no") / size))
