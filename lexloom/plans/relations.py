@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as T
 from lexloom.operators import retrieval as R
 from lexloom.operators import spans as S
+from lexloom.plans.scalars import QUALITY_SQL
 from lexloom.tables import load
 
 QUERIES, SQL = {}, {}
@@ -246,11 +247,7 @@ def ag10(spark, d):
     return c.select("document_id", rung.alias("rung"), F.concat(F.lit("j_"), F.substring(F.sha1(F.coalesce("citation", "case_number", "document_id")), 1, 16)).alias("judgment_id"))
 
 
-_Q = """SELECT source, CASE WHEN coalesce(s, 0) = 0 THEN 0.0 ELSE round(0.9 - CASE WHEN l < s * 0.5 THEN 0.5 ELSE 0 END - CASE WHEN contains(text, chr(65533)) THEN 0.3 ELSE 0 END, 4) END AS q
-    FROM (SELECT source, text, length(regexp_replace(text, '\\s', '', 'g')) AS s, length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS l FROM documents)"""
-
-
-@query("ag12_run_report", f"""WITH t AS ({_Q}), n AS (SELECT source, q, row_number() OVER (PARTITION BY source ORDER BY q) - 1 AS k, count(*) OVER (PARTITION BY source) AS n FROM t)
+@query("ag12_run_report", f"""WITH t AS ({QUALITY_SQL}), n AS (SELECT source, q, row_number() OVER (PARTITION BY source ORDER BY q) - 1 AS k, count(*) OVER (PARTITION BY source) AS n FROM t)
     SELECT source, max(n) AS documents, min(q) AS worst, max(q) FILTER (k = n // 10) AS p10, max(q) FILTER (k = n // 2) AS median FROM n GROUP BY source""")
 def ag12(spark, d):
     """Per source: documents, least quality, and the values at n div 10 and n div 2 of the sorted ones (no interpolation).
@@ -355,8 +352,7 @@ def tk04(spark, d):
     return g.orderBy(F.desc("n"), "f").limit(20).select("statute_id", "n")
 
 
-@query("tk05_worst_documents", """SELECT doc_id, q FROM (SELECT doc_id, CASE WHEN coalesce(s, 0) = 0 THEN 0.0 ELSE round(0.9 - CASE WHEN l < s * 0.5 THEN 0.5 ELSE 0 END - CASE WHEN contains(text, chr(65533)) THEN 0.3 ELSE 0 END, 4) END AS q
-    FROM (SELECT doc_id, text, length(regexp_replace(text, '\\s', '', 'g')) AS s, length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS l FROM documents)) ORDER BY q, doc_id LIMIT 10""")
+@query("tk05_worst_documents", f"SELECT doc_id, q FROM ({QUALITY_SQL}) ORDER BY q, doc_id LIMIT 10")
 def tk05(spark, d):
     return load(spark, d, "documents").select("doc_id", T.quality("text").alias("q")).orderBy("q", "doc_id").limit(10)
 

@@ -77,12 +77,18 @@ def fn28(spark, d):
     return load(spark, d, "statute_index").filter("title IS NOT NULL").select("statute_id", T.instrument_kind("title").alias("kind"))
 
 
-_party = "lower(petitioner)"
-for _n in ("\\(deceased\\).*$", "\\b(through|thr\\.?) .*$", "\\b(m/s\\.?|messrs|mst\\.?|mr\\.?|dr\\.?|ch\\.?|haji)( |$)", "(and|&) ([0-9]+ )?(others?|another)", "\\betc\\.?", "[^a-z ]"):
+_party = "lower(replace(petitioner, chr(65533), ' '))"
+for _n in (
+    "\\b(and|&)\\s+(\\d+|one|two|three|four|five|six|seven|eight|nine|ten|another|others?)\\b(\\s+others?)?", "\\betc\\b\\.?", "\\bthrough\\b.*$", "\\bthr\\b\\.?.*$",
+    "\\(since\\s+dec(ease)?d\\)", "\\blrs\\b\\.?", "\\bm/s\\b\\.?", "\\bmessrs\\b\\.?", "\\bmst\\b\\.?", "\\bmr\\b\\.?", "\\bsyed\\b", "\\bch\\b\\.?", "^\\s*the\\s+", "\\b(pvt|private|ltd|limited)\\b\\.?",
+    "[^a-z ]+",
+):
     _party = f"regexp_replace({_party}, '{_n}', ' ', 'g')"
+_party = f"""array_to_string(list_filter(string_split_regex({_party}, ' +'), lambda w: w <> '' AND w NOT IN
+    ('and', 'of', 'the', 'through', 'thr', 'v', 'vs', 'versus', 'others', 'another', 'etc', 'in', 'for')), ' ')"""
 
 
-@query("fn17_party_key", f"SELECT candidate_id, trim(regexp_replace({_party}, ' +', ' ', 'g')) AS party FROM candidates WHERE petitioner IS NOT NULL")
+@query("fn17_party_key", f"SELECT candidate_id, {_party} AS party FROM candidates WHERE petitioner IS NOT NULL")
 def fn17(spark, d):
     return load(spark, d, "candidates").filter("petitioner IS NOT NULL").select("candidate_id", T.party_key("petitioner").alias("party"))
 
@@ -149,8 +155,17 @@ def fn33(spark, d):
     return load(spark, d, "doc_text").filter("text IS NOT NULL").select("document_id", T.disposition("text").alias("outcome"))
 
 
-@query("fn41_text_quality", """SELECT doc_id, CASE WHEN coalesce(s, 0) = 0 THEN 0.0 ELSE round(0.9 - CASE WHEN l < s * 0.5 THEN 0.5 ELSE 0 END - CASE WHEN contains(text, chr(65533)) THEN 0.3 ELSE 0 END, 4) END AS quality
-    FROM (SELECT doc_id, text, length(regexp_replace(text, '\\s', '', 'g')) AS s, length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS l FROM documents)""")
+_SPACE = "\\s\\x0B\\x1C-\\x1F\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+# doc_id, source, q: the whole quality rule over documents, loops included.
+QUALITY_SQL = f"""SELECT doc_id, source, CASE WHEN coalesce(s, 0) = 0 THEN 0.0 ELSE greatest(0.0, round(0.9 - CASE WHEN l < s * 0.5 THEN 0.5 ELSE 0 END - CASE WHEN contains(text, chr(65533)) THEN 0.3 ELSE 0 END
+      - CASE WHEN running OR often THEN 0.4 ELSE 0 END, 4)) END AS q
+    FROM (SELECT *, len(list_filter(range(1, len(w) - 2), lambda i: w[i] = w[i + 1] AND w[i] = w[i + 2] AND w[i] = w[i + 3])) > 0 AS running,
+        CASE WHEN len(w) >= 6 THEN list_max(map_values(list_aggregate(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]), 'histogram'))) >= 4 ELSE false END AS often
+      FROM (SELECT doc_id, source, text, length(regexp_replace(text, '[{_SPACE}]', '', 'g')) AS s, length(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS l,
+          list_filter(string_split_regex(lower(text), '[{_SPACE}]+'), lambda x: x <> '') AS w FROM documents))"""
+
+
+@query("fn41_text_quality", f"SELECT doc_id, q AS quality FROM ({QUALITY_SQL})")
 def fn41(spark, d):
     return load(spark, d, "documents").select("doc_id", T.quality("text").alias("quality"))
 
