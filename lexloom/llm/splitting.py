@@ -7,9 +7,13 @@ log2(pieces) joins on (text, position), whatever the length of a text; no key of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexloom.llm.slicing import sliced
 from lexloom.session import discard, materialise
 from lexloom.tables import load
 
@@ -93,9 +97,17 @@ def split_texts(df: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> Da
     texts = materialise(texts, "oversized")
     cuts = greedy_cuts(successors(boundaries(texts, limit, overlap), limit, overlap), overlap)
     before = F.lag("cut").over(Window.partitionBy("_key").orderBy("step_no"))
-    spans = cuts.withColumn("char_start", before - overlap).filter(F.col("step_no") > 0)
-    spans = spans.select("_key", (F.col("step_no") - 1).alias("piece_no"), "char_start", F.col("cut").alias("char_end"))
-    return texts.join(spans, "_key").select("id", "piece_no", "char_start", "char_end", F.expr("substring(text, char_start + 1, char_end - char_start)").alias("text"))
+    spans = cuts.withColumn("char_start", (before - overlap).cast("int")).filter(F.col("step_no") > 0)
+    of = spans.groupBy("_key").agg(F.collect_list(F.struct("char_start", F.col("cut").alias("char_end"), (F.col("step_no") - 1).alias("piece_no"))).alias("spans"))
+    kind = df.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, numbers, starts, ends, pieces in sliced(batches):
+            made = {"id": ids, "piece_no": pa.array(numbers, pa.int32()), "char_start": pa.array(starts, pa.int32()), "char_end": pa.array(ends, pa.int32()), "text": pa.array(pieces, pa.string())}
+            yield pa.RecordBatch.from_pydict(made)
+
+    # the cuts of a text are as many as its length warrants: each text is sliced once
+    return texts.join(of, "_key").select("id", "text", "spans").mapInArrow(run, f"id {kind}, piece_no int, char_start int, char_end int, text string")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -107,4 +119,18 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces}
-SQL = {"p3_found": "SELECT DISTINCT id FROM chunks WHERE length(text) > 2048"}
+
+# Every position of every oversized text with the last natural and the last word boundary up to it; then one cut after another.
+_PIECES = r"""
+    WITH RECURSIVE t AS (SELECT DISTINCT id, text, length(text) AS n FROM chunks WHERE length(text) > 2048),
+    k AS (SELECT row_number() OVER () AS k, * FROM t),
+    p AS (SELECT k, n, unnest(range(1, n + 1)) AS p, unnest(list_transform(range(1, n + 1), lambda i: substr(text, greatest(1, i - 6), least(i, 7)))) AS b, unnest(string_split(substr(text, 2) || chr(1), '')) AS c FROM k),
+    m AS (SELECT k, p, p = n OR (right(b, 1) = chr(10) AND c <> chr(10)) OR (regexp_matches(b, '[.!?۔؟;]["''”’)\]]{0,2}[ \t]{1,4}$') AND c NOT IN (' ', chr(9))) OR (right(b, 1) IN ('۔', '؟') AND c NOT IN (' ', chr(9), '۔', '؟')) AS nat,
+      regexp_matches(right(b, 1), '[ \t\n\x0B\f\r]') AND NOT regexp_matches(c, '[ \t\n\x0B\f\r]') AS word FROM p),
+    r AS (SELECT k, p, max(CASE WHEN nat THEN p END) OVER w AS nat, max(CASE WHEN word THEN p END) OVER w AS word FROM m WINDOW w AS (PARTITION BY k ORDER BY p)),
+    g AS (SELECT k, 0 AS no, 0 AS a, coalesce(CASE WHEN r.nat > 256 THEN r.nat END, CASE WHEN r.word > 256 THEN r.word END, 2048) AS z FROM k JOIN r USING (k) WHERE r.p = 2048
+      UNION ALL SELECT g.k, no + 1, z - 256, CASE WHEN n <= z + 1792 THEN n ELSE coalesce(CASE WHEN r.nat > z THEN r.nat END, CASE WHEN r.word > z THEN r.word END, z + 1792) END
+      FROM g JOIN k ON g.k = k.k JOIN r ON r.k = g.k AND r.p = least(z + 1792, n) WHERE z < n)
+    SELECT id, no::INT AS piece_no, a::INT AS char_start, z::INT AS char_end, substr(text, a + 1, z - a) AS text FROM g JOIN k USING (k)"""
+
+SQL = {"p3_found": "SELECT DISTINCT id FROM chunks WHERE length(text) > 2048", "p3_pieces": _PIECES}
