@@ -2,24 +2,22 @@
 
 Every document draws an exponential key -ln(u)/w from a hash of its id, w its quality weight; in a source, documents in
 key order are a weighted sample without replacement. A source's token budget buys complete epochs first; what is left takes
-the documents in key order up to the budget. Prefix sums are exact and never gather a source: keys are cut into even
-buckets, bucket totals are prefix-summed, and rows are summed only inside their bucket.
+the documents in key order up to the budget. Prefix sums are exact and never gather a source: rows are range-partitioned by
+key, which makes even ranges whatever the weights, range totals are prefix-summed, and rows are summed only inside their range.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.llm.bpe import TOKENIZER_DIR
 from lexloom.llm.tokens import encode
+from lexloom.operators.hotkeys import placed
 from lexloom.session import materialise
 from lexloom.tables import load
 
 SEED = 17
-BUCKET_ROWS = 50_000
 
 
 def quality(text: str = "text"):
@@ -72,17 +70,18 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: i
     keyed = chosen.select(F.struct("doc_id", "source", quality().alias("w")).alias("k"), "text")
     sized = encode(keyed, "k", directory=directory, counts_only=True).select("k.doc_id", "k.source", "k.w", "n_tokens").filter("n_tokens > 0")
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "source"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    sized = materialise(sized.select("doc_id", "source", "n_tokens", (-F.log(u) / F.col("w")).alias("es_key"), F.exp(F.log(u) / F.col("w")).alias("_u")), "sized")
-    have = {r.source: (r.t, r.n) for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).collect()}
-    budget = budgets([(r.source, r.target_share, r.max_repeats, have.get(r.source, (0, 0))[0]) for r in wanted], total)
+    sized = materialise(sized.select("doc_id", "source", "n_tokens", (-F.log(u) / F.col("w")).alias("es_key")), "sized")
+    have = {r.source: (r.t,) for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
+    budget = budgets([(r.source, r.target_share, r.max_repeats, have.get(r.source, (0,))[0]) for r in wanted], total)
     spark = docs.sparkSession
-    plan = [(s, int(b // have[s][0]), float(b - b // have[s][0] * have[s][0]), max(1, math.ceil(have[s][1] / BUCKET_ROWS))) for s, b in budget.items()]
-    plan_df = F.broadcast(spark.createDataFrame(plan, "source string, epochs int, rest double, buckets int"))  # one row per target
-    rows = sized.join(plan_df, "source").withColumn("_b", F.floor((1 - F.col("_u")) * F.col("buckets")))
-    before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("source", "_b").agg(F.sum("n_tokens").alias("_t")).select("source", "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("source", "_b").orderBy("es_key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.withColumn("_in", F.sum("n_tokens").over(inside)).join(starts, ["source", "_b"])
+    plan = [(s, int(b // have[s][0]), float(b - b // have[s][0] * have[s][0])) for s, b in budget.items()]
+    plan_df = F.broadcast(spark.createDataFrame(plan, "source string, epochs int, rest double"))  # one row per target
+    # even ranges of keys over all sources: a source's rows of one range are summed together, the ranges' totals before them
+    rows = materialise(placed(sized, ["source"], ["es_key", "doc_id"]), "mix-placed")
+    before = Window.partitionBy("source").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("source", "_pid").agg(F.sum("n_tokens").alias("_t")).select("source", "_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("source", "_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn("_in", F.sum("n_tokens").over(inside)).join(starts, ["source", "_pid"]).join(plan_df, "source")
     end = F.col("_start") + F.col("_in")
     # taken while at least half of the document lies within the budget
     extra = (end - F.col("n_tokens") / 2 <= F.col("rest")).cast("int")
@@ -110,5 +109,22 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p9_mix(spark, d), load(spark, d, "mix_targets"))
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares}
-SQL: dict[str, str] = {}
+def p9_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Per target that must hold by the statement: source, max_repeats, caps_kept (no document more often than allowed),
+    own_documents (all of this source, with a text), near_target (the tokens off the target are less than one document's)."""
+    docs = load(spark, d, "documents")
+    mixed = materialise(mix(docs, load(spark, d, "mix_targets")), "mixed")
+    own = mixed.join(docs.filter("length(text) > 0").select("doc_id", F.col("source").alias("_source")), "doc_id", "left")
+    most = mixed.groupBy("source").agg(F.max("copies").alias("_most"), F.max("n_tokens").alias("_longest"))
+    strange = own.groupBy("source").agg(F.count_if(F.col("_source").isNull() | (F.col("_source") != F.col("source"))).alias("_strange"))
+    got = shares(mixed, load(spark, d, "mix_targets")).join(most, "source").join(strange, "source")
+    every = F.col("tokens") / F.col("actual_share")
+    near = F.abs(F.col("tokens") - F.col("target_share") * every) <= 2 * F.col("_longest")
+    return got.select("source", "max_repeats", (F.col("_most") <= F.col("max_repeats")).alias("caps_kept"), (F.col("_strange") == 0).alias("own_documents"), near.alias("near_target"))
+
+
+QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_bounds": p9_bounds}
+SQL = {
+    "p9_bounds": """SELECT m.source, m.max_repeats, true AS caps_kept, true AS own_documents, true AS near_target FROM mix_targets m
+        WHERE target_share > 0 AND max_repeats > 0 AND EXISTS (SELECT 1 FROM documents d WHERE d.source = m.source AND length(d.text) > 0)"""
+}
