@@ -1,9 +1,8 @@
 """Template residue, filler, error pages and demands for scripts in place of content (problem 10).
 
-Character n-gram models: one for each kind of residue, started from the seed texts below, and one for natural prose, fitted on
-a bounded sample of the corpus. Windows are lines and sentences; a window's score is the log-likelihood ratio of its n-grams
-between the best residue model and prose. The sample's windows are scored, moved to the model they fit, and the models are
-fitted again (a few rounds). A document is excluded when residue windows cover at least `coverage` of it.
+Character n-gram models: one for each kind of residue, fitted on the seed texts below, and one for natural prose, counted over
+all texts of the corpus. Windows are lines and sentences; a window's score is the log-likelihood ratio of its n-grams
+between the best residue model and prose. A document is excluded when residue windows cover at least `coverage` of it.
 """
 
 from __future__ import annotations
@@ -11,73 +10,93 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.tables import load
 
-SAMPLE_DOCS = 4000  # bound of the sample that fits the prose model
-COVERAGE = 0.10
+COVERAGE = 0.15  # least part of a text's visible bytes that residue windows cover
 BITS, ORDERS = 18, (3, 5)
 SHORTEST = 24  # bytes; shorter windows join the next one
 
-# Seed texts of each kind.
+# Seed texts of each kind: what servers, frameworks, page builders and form printers are publicly known to print.
 FILLER = """
 Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.
 Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat.
 Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.
-Text text text text text text. Sample text goes here. Your text here. Dummy text for the page layout.
-asdf asdf asdf qwer qwer. qwerty qwerty asdfgh. abc abc abc 000 000. test test test. xxx xxx xxx. blah blah blah.
-This is dummy content for the layout of this page. This is sample content and will be replaced. This is a test record.
-Placeholder paragraph. Placeholder text. Test entry, please ignore. Test document, do not use.
-Heading to follow. Text to follow. Content to follow. Summary to be added later. Content coming soon.
-Enter the heading here. Enter the text of the document here. Type the names here. Type your text here. Put the summary in this space.
-Insert title here. Click here to add text. Click to edit. Add your content here. Use styles from the panel. Replace this text.
-Delete this line before issue. Delete this paragraph before printing. TO BE COMPLETED: names, date, amount. TBD TBD TBD. TODO: fill in.
-To be completed by the office. To be filled in by the registry. Not yet drafted. [text] [text] [text]
+Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.
+Sed ut perspiciatis unde omnis iste natus error sit voluptatem accusantium doloremque laudantium, totam rem aperiam.
+Vestibulum ante ipsum primis in faucibus orci luctus et ultrices posuere cubilia curae. Pellentesque habitant morbi tristique senectus.
+Curabitur pretium tincidunt lacus. Nulla gravida orci a odio. Nullam varius, turpis et commodo pharetra, est eros bibendum elit.
+This is sample text. This is dummy text. This is placeholder text. Sample content. Dummy content. Filler text. Test content only.
+Your content goes here. Your title here. Add your text here. Insert text here. Write something here. Type here. Body text goes here.
+Click to edit this text. Double click to edit. Click to add a title. Click to add subtitle. Edit this section. Drag and drop content here.
+Hello world! Welcome to your new site. This is your first post. Edit or delete it, then start writing! This is an example page.
+This is an example of a page. It is different from a post because it will stay in one place. Just another site. Sample page. Untitled document.
+Heading 1 Heading 2 Heading 3 Subheading Paragraph text. Title goes here. Caption goes here. Description goes here. Summary goes here.
+test test test test test. testing 000 testing. foo bar baz qux foo bar. asdf asdf asdf. asdfasdf qwerty qwerty. aaa bbb ccc ddd. xxx xxx xxx. blah blah blah.
+This text is to be replaced. Please replace this text with your own content. Remove this paragraph before publishing. Do not print this page.
+The quick brown fox jumps over the lazy dog. The quick brown fox jumps over the lazy dog. Pack my box with five dozen liquor jugs.
+TODO: write this section. TBD. To be decided. To be added. To be announced. To be updated. To be inserted. To be drafted. Details to follow. More to come. Details will be added here.
+This section is intentionally left blank. This page intentionally left blank. Text to be supplied. Draft text not final. Content pending. Content will be added soon. Content coming soon.
+Test entry. Test record. Test upload. Test file, please delete. Trial entry, please ignore this record. Dummy record for testing of the system. Sample record created for demonstration.
 """
 ERRORS = """
-404 Not Found. The requested page was not found on this server. The requested record was not found on this system. Error 404.
-HTTP Status 410 - Gone. HTTP Status 500 - Internal Server Error. HTTP Error 403. 403 Forbidden. You don't have permission to access this resource.
-502 Bad Gateway. 503 Service Temporarily Unavailable. Gateway timeout (504). The upstream server took too long. nginx. Apache Server at Port 80.
-The server is down for maintenance. Please try again later. Please try again after some time. Kindly try later. Reference: 00000000
-Internal error. An unexpected error occurred. Something went wrong. Oops! We couldn't find that page. This page does not exist. Page not found.
-The file you asked for could not be opened. It may be damaged or no longer available. The link you followed may be broken. Return to the home page. Return to the home link.
-Access denied. Your address has been blocked owing to too many requests. Too many requests. Rate limit exceeded. Request blocked.
-Your session has expired. You should sign in again to open this page. Please log in again. Sign in to continue. Session timed out.
-No records matched your query. No results found. Change the filters and search once more. Your search returned no results.
-This site is under construction. Documents will be uploaded soon. This page is under construction. Coming soon.
-Traceback (most recent call last): File "serve.py", line 000, in render KeyError: 'text' ValueError TypeError: NoneType object
-Exception in thread "main" java.lang.NullPointerException at com.app.Main.run(Main.java:00) Caused by: java.sql.SQLException
-ORA-00000: table or view does not exist. SQL error: syntax error near SELECT. Warning: mysql_connect(): could not connect to database. Fatal error on line 00
-<?xml version="0.0"?><Error><Code>NoSuchKey</Code><Message>The specified key does not exist.</Message></Error> AccessDenied RequestId HostId
-undefined v. undefined. null of NaN. undefined undefined null null NaN NaN [object Object] None None
-Registry > Documents > View Home About Documents Contact Home | Contact | Help [0 ms] (v0.0)
+404 Not Found. The requested URL was not found on this server. Error 404. Page not found. The page you are looking for could not be found.
+The page you requested does not exist or has been moved. Sorry, we couldn't find that page. Oops! That page can't be found. Nothing was found at this location.
+HTTP Status 404 - Not Found. HTTP Status 500 - Internal Server Error. HTTP Error 503. The service is unavailable. HTTP Error 400. Bad Request - Invalid URL.
+403 Forbidden. You don't have permission to access this resource. Access denied. You are not authorized to view this page. Access to this resource is denied.
+500 Internal Server Error. The server encountered an internal error or misconfiguration and was unable to complete your request. Please contact the server administrator.
+502 Bad Gateway. 503 Service Unavailable. 504 Gateway Time-out. 410 Gone. 401 Unauthorized. 429 Too Many Requests. nginx/0.00.0. Apache/0.0.00 Server at localhost Port 00.
+The server is temporarily unable to service your request due to maintenance downtime or capacity problems. Please try again later. The upstream server is not responding.
+This site can't be reached. The connection was reset. The connection has timed out. The server took too long to respond. Connection refused. Request timed out.
+Unable to connect to the database. Error establishing a database connection. Could not connect to server. Service temporarily down. We are down for maintenance. Back soon.
+An unexpected error has occurred. An error occurred while processing your request. Something went wrong. Please try again. If the problem persists, contact support. Error code: 0x000000
+Server Error in '/' Application. Runtime Error. Object reference not set to an instance of an object. Stack trace: at System.Web.UI.Page
+Traceback (most recent call last): File "app.py", line 00, in <module> raise ValueError KeyError: 'id' TypeError: 'NoneType' object is not subscriptable AttributeError
+Exception in thread "main" java.lang.NullPointerException at org.example.Main.main(Main.java:00) Caused by: java.io.IOException: Broken pipe ... 00 more
+Fatal error: Uncaught Error: Call to undefined function in /var/www/html/index.php on line 00. Warning: include(): Failed opening. Notice: Undefined index
+You have an error in your SQL syntax; check the manual. ORA-00000: invalid identifier. SQLSTATE[00000]: General error. mysql_connect(): Access denied for user. Deadlock found
+<?xml version="0.0" encoding="UTF-0"?><Error><Code>AccessDenied</Code><Message>Access Denied</Message><RequestId>00</RequestId><HostId>00</HostId></Error> <Code>NoSuchKey</Code>
+{"error": "not found", "status": 404, "message": "Resource not found"} {"code":500,"message":"Internal error"} null undefined NaN [object Object] undefined undefined null null
+Your session has timed out. Your session has expired. Please log in again to continue. Please sign in to view this content. Login required. You must be logged in. Session expired, please sign in.
+Your IP address has been blocked. Too many requests from your address. You have been rate limited. Request blocked by the firewall. Your request could not be satisfied. Request ID: 00000000
+No results found. Your search did not match any documents. No records found. There are no items to display. Try different keywords. Please refine your search. Try another search. 0 results.
+The file could not be opened. The file is damaged and could not be repaired. Failed to load document. Unable to load PDF. The document is no longer available. File not found. Download failed. Invalid file.
+This website is under construction. Site under construction. Under maintenance. We will be back shortly. Coming soon. This domain is parked. This link has expired. This link is broken. Invalid link.
+Go back to the home page. Return to homepage. Go to home. Back to previous page. Contact the webmaster. Report this problem. Home > Error. Home | Search | Contact us | Sitemap | Help
 """
 SCRIPTS = """
-Please enable JavaScript to view this page. You need to enable JavaScript to run this app. JavaScript is disabled in your browser. JavaScript is required.
-This page requires JavaScript. Scripts must be on for the search to load. <noscript>Scripts must be on for the page to load.</noscript> Ray 0000e00e
-Your browser does not support the technology needed to show this page. Please switch to a newer browser with scripting on. Kindly use another browser.
-The document viewer will not work until you turn it on. Turn on scripting and load the page again. Scripting must be allowed. This takes a few seconds.
-If the document does not appear, check that JavaScript and cookies are allowed. Cookies must be enabled. We use cookies. Accept all / Reject all / Settings.
-Checking your browser before opening the portal. Are you a robot? Tick the box below to continue to the search. Verify you are human. Complete the captcha.
-Loading... Loading... Please wait while the viewer starts. Kindly wait. Redirecting... window.__STATE__ = {"page":null,"error":"not loaded"}; document.getElementById(
+Please enable JavaScript to view this page. You need to enable JavaScript to run this app. JavaScript is disabled in your browser. JavaScript is required. JavaScript must be enabled.
+This site requires JavaScript. Please turn JavaScript on and reload the page. Enable JavaScript and cookies to continue. We're sorry but this app doesn't work properly without JavaScript enabled. Please enable it to continue.
+Your browser does not support JavaScript. Your browser has scripts turned off. Scripting is disabled. Turn on scripts in your browser settings and refresh. Active scripting needs to be enabled. Allow scripts for this site.
+<noscript>Your browser does not support JavaScript!</noscript> <noscript>Please enable scripts to use this website.</noscript> <script>window.location="/";</script> function(){ var d = document.createElement("script"); }
+This page uses scripts to display its contents. The contents can't be shown because scripts are blocked. The application could not start because scripts are turned off. The viewer needs scripts to work.
+Your browser is out of date. Please upgrade your browser. This browser is not supported. Use a modern browser such as Chrome, Firefox or Edge. Update your browser to view this site properly.
+Checking your browser before accessing the site. This process is automatic. Your browser will redirect to your requested content shortly. Please allow up to 0 seconds. DDoS protection. Ray ID: 00000000
+Just a moment... Verifying you are human. This may take a few seconds. Please complete the security check to access the site. I'm not a robot. Are you a robot? Complete the captcha. Select all images.
+Please enable cookies. Cookies are disabled. This site uses cookies. We use cookies to improve your experience. Accept cookies. Accept all. Reject all. Manage preferences. Cookie settings.
+Loading... Please wait... Loading, please wait. Please wait while the page loads. Redirecting... You are being redirected. If you are not redirected automatically, click here. The page will load shortly.
+Adobe Flash Player is required. Please install the plugin to view this content. Java is required to view this document. The viewer requires a plugin that is not installed. Download the latest version.
+window.__INITIAL_STATE__ = {"user":null,"items":[]}; self.__next_f.push([0]); document.getElementById("root"); data-reactroot __NEXT_DATA__ {"props":{"pageProps":{}}} webpackJsonp
 """
 # The marks that enclose an unfilled field, fields, and the lines of forms.
-BRACKETS = ["{{%s}}", "{{ %s }}", "{%s}", "${%s}", "<<%s>>", "<%s>", "[%s]", "[insert %s]", "«%s»", "%%%s%%", "#%s#", "__%s__", "[[%s]]", "@@%s@@", "{%% %s %%}"]
-FIELDS = ["party one", "party two", "date of order", "name of deponent", "address", "amount", "date", "place", "case number", "judge name", "court name", "petitioner name",
-          "respondent name", "hearing date", "next date", "witness one", "witness two", "name of officer", "amount in words", "consideration", "signature", "title"]
+BRACKETS = ["{{%s}}", "{{ %s }}", "{%s}", "${%s}", "<<%s>>", "<%s>", "[%s]", "[insert %s]", "[enter %s here]", "«%s»", "%%%s%%", "#%s#", "__%s__", "[[%s]]", "@@%s@@", "{%% %s %%}", "<%%= %s %%>", "[%s to be filled in]"]
+FIELDS = ["name", "first name", "full name", "client name", "applicant name", "party name", "plaintiff", "defendant", "court", "judge", "case no", "file number", "date", "start date", "due date",
+          "address", "city", "phone", "email", "amount", "total", "title", "subject", "body", "reference", "description", "signature", "company", "position", "section", "act"]
 FORMS = [
-    "{0} against {1}, decided on {2}.", "Deponent: {3}", "Witness: {15}", "I, {3}, resident of {4}, do solemnly affirm that {5} was received by me on {6} at {7}.",
-    "In the matter of {11} against {12}, the case {8} was taken up on {13} by {9} sitting at {10}.", "Title: {8} Coram: {9} Summary: {10} Parties: {11} / {12}",
-    "Dear {11}, your matter {8} is listed on {13}.", "Appear before {10} with your papers.", "To come up on {14}. Signed by {17}.", "A sum of {18} is payable to {0}.",
-    "{10} {8} {11} versus {12} Date of hearing: {13} Before {9}.", "Order No. {8} Between {11} (petitioner) and {12} (respondent) Date: {6}",
+    "Dear {0}, thank you for {1}.", "To: {2} From: {3} Date: {12} Subject: {22}", "This agreement is made on {12} between {5} of {15} and {3} of {16}.",
+    "Name: {2} Address: {15} Phone: {17} Email: {18}", "In the {8} of {16} Case No. {10} {6} versus {7}", "Before {9} on {12}", "{6} v. {7}", "Judgment of {8} dated {12}.",
+    "I, {2}, of {15}, state that {25}.", "The sum of {19} is due on {14}.", "Signed {26} for {27}, {28}.", "Section {29} of {30}", "{21} {23} {24}", "Order in {10}: {23}", "Application {11} filed by {4} on {12} is {23}.",
 ]
 BLANKS = [
-    "Case No. ______________ of __________", "Petitioner: ______________", "Respondent: ______________", "Dated: ______________", "Signature ........................",
-    "Name: ................", "on account of ......................., this ___________________ day of __________________.", "I, ________________, son of ______________, resident of ____________",
-    "the sum of Rs. ______________", "Order No. XXXX of 00XX", "Between XXXXXXX (petitioner) and XXXXXXX (respondent)", "Date: XX/XX/XXXX", "No. ____/____", "Place: ____________ Date: __/__/____",
+    "Name: ____________________ Date: ____________", "Signature: _______________________", "Case No. ________ of ________", "Address ______________________________________", "Telephone: ____________",
+    "I, ____________________, son of ____________________, hereby declare that ____________________", "on this ______ day of ____________, ______", "Rs. ____________ (Rupees ____________________ only)",
+    "Name ............................ Age ........ Address ............................", "dated ................ at ................", "between .................... and ....................",
+    "Date: DD/MM/YYYY", "Date: __/__/____", "Name: XXXXXXXXXX", "No. XXX/XXXX", "Mr. XXXX XXXX of XXXXXX", "Amount: Rs. XX,XXX", "( ) Yes ( ) No", "[ ] Yes [ ] No", "Tick one: [ ] [ ]",
 ]
 
 
@@ -129,96 +148,142 @@ def cut_windows(text: str) -> tuple[np.ndarray, list[int]]:
     return data, starts
 
 
+THRESHOLD = 1.0  # of a window's log-likelihood ratio a byte, summed over the orders
+MIXED = 0.5  # the part of residue text that its seeds make up
+PROSE_WEIGHT, LEAST = 2e5, 0.01
+KINDS = ("template", "filler", "error", "script")
+
+
 class ResidueModel:
-    """Log-likelihood ratios of n-grams, one table per kind of residue and n-gram order. A fixed 2^BITS entries each."""
+    """Log-likelihood ratios of n-grams: for each n-gram order a table of 2^BITS rows and a column per kind of residue."""
 
-    KINDS = ("template", "filler", "error", "script")
+    KINDS = KINDS
 
     def __init__(self, tables: np.ndarray):
-        self.tables = tables  # kinds x orders x 2^BITS, float32
+        self.tables = tables  # orders x 2^BITS x kinds, float32
 
     def score(self, texts: list[str | None]) -> tuple[list[list[tuple[int, int, float, int]]], list[int]]:
         """For each text: its windows (start, end, ratio a byte, kind), and its bytes that aren't blank."""
         cut = [cut_windows(t or "") for t in texts]
-        sizes = [len(c[0]) for c in cut]
         data = np.concatenate([c[0] for c in cut]) if cut else np.zeros(0, np.uint8)
-        sums = np.zeros((len(self.KINDS), len(data) + 1))
-        for j, order in enumerate(ORDERS):
-            g = grams(data, order)
-            sums[:, 1:] += np.cumsum(self.tables[:, j][:, g], axis=1)
         visible = np.concatenate([[0], np.cumsum(data > 32)])
-        out, shown, base = [], [], 0
-        for (_, starts), size in zip(cut, sizes):
-            ends = [*starts[1:], size]
-            rows = []
-            for a, b in zip(starts, ends):
-                # n-grams that run over the window's end belong to no window
-                last = max(a + 1, b - max(ORDERS) + 1)
-                r = (sums[:, base + last] - sums[:, base + a]) / (last - a)
-                k = int(np.argmax(r))
-                rows.append((int(visible[base + a]), int(visible[base + b]), float(r[k]), k))
-            out.append(rows)
-            shown.append(int(visible[base + size] - visible[base]))
-            base += size
+        base = np.concatenate([[0], np.cumsum([len(c[0]) for c in cut])]).astype(np.int64)
+        shown = (visible[base[1:]] - visible[base[:-1]]).tolist()
+        starts = np.concatenate([b + np.array(c[1], np.int64) for b, c in zip(base, cut)]) if cut else np.zeros(0, np.int64)
+        if not len(starts):
+            return [[] for _ in texts], shown
+        ends = np.append(starts[1:], len(data))
+        # n-grams that run over the window's end belong to no window
+        last = np.maximum(starts + 1, ends - max(ORDERS) + 1)
+        ratio = sum(self.tables[j][grams(data, o)] for j, o in enumerate(ORDERS))
+        bounds = np.stack([starts, last], 1).ravel()
+        if bounds[-1] >= len(data):
+            ratio = np.concatenate([ratio, np.zeros((1, len(KINDS)), np.float32)])
+        r = np.add.reduceat(ratio, bounds, axis=0)[::2] / (last - starts)[:, None]
+        kind = r.argmax(1)
+        rows = list(zip(visible[starts].tolist(), visible[ends].tolist(), r.max(1).tolist(), kind.tolist()))
+        out, at = [], 0
+        for c in cut:
+            out.append(rows[at : at + len(c[1])])
+            at += len(c[1])
         return out, shown
 
 
-def fit(sample: list[str], rounds: int = 3) -> ResidueModel:
-    """Fit on seeds and a sample of whole texts; see the module."""
-    seeds = [template_seeds(), FILLER.strip().split("\n"), ERRORS.strip().split("\n"), SCRIPTS.strip().split("\n")]
-    pieces = []
-    for t in sample:
-        data, starts = cut_windows(t)
-        pieces += [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
-    label = np.full(len(pieces), -1)
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    flat = np.concatenate(pieces) if pieces else np.zeros(0, np.uint8)
-    owner = np.repeat(np.arange(len(pieces)), sizes)
-    ends = np.cumsum(sizes)
-    hashed = [grams(flat, o) for o in ORDERS]
-    inside = [np.arange(len(flat)) + o <= np.repeat(ends, sizes) for o in ORDERS]
-    base = []
-    for texts in seeds:
+def seed_texts() -> dict[str, list[str]]:
+    return dict(zip(KINDS, [template_seeds(), FILLER.strip().split("\n"), ERRORS.strip().split("\n"), SCRIPTS.strip().split("\n")]))
+
+
+def seed_counts(seeds: dict[str, list[str]]) -> list[np.ndarray]:
+    """For each n-gram order a table (2^BITS x kinds) of the seeds' n-grams."""
+    out = [np.zeros((1 << BITS, len(KINDS))) for _ in ORDERS]
+    for k, texts in enumerate(seeds.get(kind, []) for kind in KINDS):
         data = _LOWER[np.frombuffer("\n".join(texts).encode(), np.uint8)].copy()
         data[data == 10] = 32
-        base.append([np.bincount(grams(data, o), minlength=1 << BITS).astype(float) for o in ORDERS])
-    tables = np.zeros((len(seeds), len(ORDERS), 1 << BITS), np.float32)
-    for _ in range(rounds):
-        mine = label[owner]
-        for j in range(len(ORDERS)):
-            prose = np.bincount(hashed[j][(mine < 0) & inside[j]], minlength=1 << BITS).astype(float)
-            for k in range(len(seeds)):
-                own = base[k][j] * (2e4 / max(1.0, base[k][j].sum())) + np.bincount(hashed[j][(mine == k) & inside[j]], minlength=1 << BITS)
-                p = (own + 0.01) / (own.sum() + 0.01 * (1 << BITS))
-                q = (prose + 0.01) / (prose.sum() + 0.01 * (1 << BITS))
-                tables[k, j] = np.clip(np.log(p / q), -8, 8)
-        if not len(pieces):
-            break
-        total = np.zeros((len(seeds), len(pieces)))
-        for j in range(len(ORDERS)):
-            for k in range(len(seeds)):
-                total[k] += np.bincount(owner[inside[j]], weights=tables[k, j][hashed[j][inside[j]]], minlength=len(pieces))
-        best = total.argmax(0)
-        label = np.where(total.max(0) / np.maximum(1, sizes) > THRESHOLD, best, -1)
-    return ResidueModel(tables)
-
-
-THRESHOLD = 0.0  # of the log-likelihood ratio a byte
-
-
-def fit_on(df: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> ResidueModel:
-    """The model fitted on the `sample_docs` texts of smallest key hash (a bounded sample, the same at every run)."""
-    held = df.filter(F.length(F.trim(text)) > 0).select(F.xxhash64(F.col(key), F.lit("residue")).alias("h"), F.col(text).alias("t"))
-    return fit([r.t for r in held.orderBy("h", "t").limit(sample_docs).select("t").collect()])
-
-
-def judge(df: DataFrame, fitted: ResidueModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+        for j, o in enumerate(ORDERS):
+            out[j][:, k] = np.bincount(grams(data, o), minlength=1 << BITS)
+    return out
+
+
+def fitted(prose: list[np.ndarray], seeds: dict[str, list[str]] | None = None) -> ResidueModel:
+    """The model of the seeds against the counted n-grams of prose (for each order an array of 2^BITS counts).
+
+    Residue is taken as a mixture of its seeds and prose (MIXED), so that ordinary words beside a placeholder count little
+    against it; prose counts are taken relative to a fixed weight, so that a corpus of any size weighs alike.
+    """
+    tables = []
+    for own, all_of in zip(seed_counts(seeds or seed_texts()), prose):
+        p = own / np.maximum(1.0, own.sum(0))
+        every = all_of * (PROSE_WEIGHT / max(1.0, all_of.sum()))
+        q = ((every + LEAST) / (every.sum() + LEAST * (1 << BITS)))[:, None]
+        tables.append(np.clip(np.log((MIXED * p + (1 - MIXED) * q) / q), -8, 8).astype(np.float32))
+    return ResidueModel(np.stack(tables))
+
+
+def count_grams(texts: list[str | None]) -> list[np.ndarray]:
+    """For each order the counts of the n-grams that lie within a text."""
+    data = [_LOWER[np.frombuffer(t.encode("utf-8", "replace"), np.uint8)] for t in texts if t]
+    flat = np.concatenate(data) if data else np.zeros(0, np.uint8)
+    flat = np.where(flat == 10, np.uint8(32), flat)
+    sizes = np.array([len(d) for d in data], np.int64)
+    room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))  # bytes from here to the text's end
+    return [np.bincount(grams(flat, o)[room >= o], minlength=1 << BITS) for o in ORDERS]
+
+
+def fit(texts: list[str], seeds: dict[str, list[str]] | None = None) -> ResidueModel:
+    """The model over texts at hand, for tests and small uses."""
+    return fitted([c.astype(float) for c in count_grams(texts)], seeds)
+
+
+SLICES = 64  # parts of the count tables that are summed apart
+
+
+def _added(frames: pd.DataFrame) -> bytes:
+    total = np.zeros(len(ORDERS) * (1 << BITS) // SLICES, np.int64)
+    for c in frames["counts"]:
+        total += np.frombuffer(c, np.int64)
+    return total.tobytes()
+
+
+def corpus_counts(df: DataFrame, text: str = "text") -> list[np.ndarray]:
+    """The n-gram counts of every text of df. Each task counts into tables of a fixed size; slices of them are summed in two
+    steps, groups of tasks first, so that no step gathers more than the square root of the tasks. The driver gets one table."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(1 << BITS, np.int64) for _ in ORDERS]
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                for have, more in zip(total, count_grams(b.column(0).slice(at, 64).to_pylist())):
+                    have += more
+        flat = np.concatenate(total)
+        task = TaskContext.get().partitionId()
+        parts = [p.tobytes() for p in np.split(flat, SLICES)]
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "task": pa.array([task] * SLICES, pa.int32()), "counts": pa.array(parts, pa.binary())})
+
+    def add(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": [key[0]], "counts": [_added(g)]})
+
+    made = df.select(text).mapInArrow(count, "slice int, task int, counts binary")
+    wide = max(1, int(max(1, df.rdd.getNumPartitions()) ** 0.5))
+    some = made.groupBy("slice", F.pmod("task", F.lit(wide)).alias("lot")).applyInPandas(add, "slice int, counts binary")
+    rows = some.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()  # SLICES rows of a fixed size
+    if not rows:  # a table without partitions
+        return [np.zeros(1 << BITS) for _ in ORDERS]
+    flat = np.concatenate([np.frombuffer(r.counts, np.int64) for r in sorted(rows, key=lambda r: r["slice"])])
+    return [p.astype(float) for p in np.split(flat, len(ORDERS))]
+
+
+def fit_on(df: DataFrame, text: str = "text") -> ResidueModel:
+    """The model of the seeds against the prose statistics of all texts of df."""
+    return fitted(corpus_counts(df, text))
+
+
+def judge(df: DataFrame, fitted_model: ResidueModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, residue_share (0 to 1), kind (the kind that covers most, null where none): one row per row of df.
 
     Null, empty and blank texts have share 0. Repeated rows and null keys are kept. Whole texts are scored.
     """
     kind = df.schema[key].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast(fitted.tables)  # a fixed number of bytes
+    shared = df.sparkSession.sparkContext.broadcast(fitted_model.tables)  # a fixed number of bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ResidueModel(shared.value)
