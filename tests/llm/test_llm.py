@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lexloom.llm import bpe, groups, lines, mixing, names, residue, scans, splitting, tokens, unify
 
@@ -116,7 +117,17 @@ def test_components_against_union_find(spark):
     assert groups.components(df.limit(0), "a", "b").count() == 0
 
 
-def test_repeated_lines_incrementally(spark):
+def test_a_star_beside_chains_with_nothing_broadcast(spark):
+    """A hub with 20,000 leaves: its label is split from the others (over 100 rows), and no table of labels is broadcast."""
+    star = spark.range(20_000).selectExpr("concat('z', id) AS a", "'hub' AS b")
+    chains = spark.range(3_000).selectExpr("concat('c', lpad(id, 5, '0')) AS a", "concat('c', lpad(id + IF(id % 10 = 9, 0, 1), 5, '0')) AS b")
+    got = groups.components(star.unionByName(chains), "a", "b", limit=0, hot=100)
+    per = {r.group_id: r["count"] for r in got.groupBy("group_id").count().collect()}
+    assert per["hub"] == 20_001 and len(per) == 301 and {v for k, v in per.items() if k != "hub"} == {10}
+    assert not spark.conf.get("spark.checkpoint.dir").startswith("hdfs") and got.count() == got.select("node").distinct().count()
+
+
+def test_repeated_lines_incrementally(spark, tmp_path):
     docs = [(f"d{i}", "s" if i < 10 else None if i == 10 else "t") for i in range(13)]
     paras = [(f"d{i}", "p1", f"Own line {string.ascii_letters[i]}\nPage {i} of SITE!" if i < 6 else "nothing here", 0) for i in range(13)] + [("d0", "p2", None, 0), ("d0", "p1", "Own line a\nPage 0 of SITE!", 0)]
     dd = spark.createDataFrame(docs, "document_id string, source string")
@@ -128,28 +139,68 @@ def test_repeated_lines_incrementally(spark):
     first = [f"d{i}" for i in range(4)]
     part = lambda df, ids: df.filter(df.document_id.isin(ids))
     rest = [d for d, _ in docs if d not in first]
-    a = lines.LineCounts.empty(spark).merge(lines.document_lines(part(pp, first), part(dd, first)), part(dd, first))
-    b = a.merge(lines.document_lines(part(pp, rest), part(dd, rest)), part(dd, rest))
-    again = b.merge(lines.document_lines(part(pp, rest), part(dd, rest)), part(dd, rest))
-    crossed = b.crossed(a)
-    assert crossed.count() == 1 and crossed.first().now
-    assert {r.document_id for r in b.documents_of(crossed).collect()} == {f"d{i}" for i in range(6)}
-    assert sorted(again.counts.collect()) == sorted(b.counts.collect())
+    merge = lambda state, ids: state.merge(lines.document_lines(part(pp, ids), part(dd, ids)), part(dd, ids))
+    a = merge(lines.LineState.empty(spark), first)
+    a.save(f"{tmp_path}/state")
+    b = merge(lines.LineState.open(spark, f"{tmp_path}/state"), rest)
+    assert b.crossed.count() == 1 and b.crossed.first().now
+    assert {r.document_id for r in b.documents_of(b.crossed).collect()} == {f"d{i}" for i in range(6)}
+    rebuilt = {(r.document_id, r.para_id): r.text for r in b.rebuild(pp, dd).collect()}
+    assert rebuilt["d1", "p1"] == "Own line b" and {d for d, _ in rebuilt} == {f"d{i}" for i in range(6)}
+    again = merge(b, rest)
+    total = lambda s: sorted(s._compacted("counts", s.table("counts")).collect())
+    assert total(again) == total(b) and again.crossed.count() == 0
+    # two documents change: the wording falls below five documents, is retracted, and the others are rebuilt with it
+    changed = spark.createDataFrame([("d0", "p1", "Own line a", 0), ("d1", "p1", "Own line b", 0)], pp.schema)
+    c = again.merge(lines.document_lines(changed, dd), part(dd, ["d0", "d1"]))
+    assert c.crossed.count() == 1 and not c.crossed.first().now
+    now = changed.unionByName(part(pp, [f"d{i}" for i in range(2, 13)]))
+    kept = {r.document_id: r.text for r in c.rebuild(now, dd).collect()}
+    assert set(kept) == {f"d{i}" for i in range(2, 6)} and kept["d2"] == "Own line c\nPage 2 of SITE!"
+    c.save(f"{tmp_path}/again")
+    opened = lines.LineState.open(spark, f"{tmp_path}/again")
+    assert total(opened) == total(c) and opened.table("docs").count() == 12
 
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("plain text", "plain text"), ("ｆｕｌｌ　１２", "full 12"), ("соurt", "court"), ("été", "été"), ("a​b c", "ab c"), ("ﬁne Ⅱ", "fine II"), ("كي ١٢", "کی ۱۲"), ("عـل", "عل"), ("ج‌د", "ج‌د"), ("Привет из Дельма", "Привет из Дельма"), ("“quote” — dash", "“quote” — dash"), ("", "")],
-)
-def test_consistent_form(text, want):
-    assert unify.fold(text)[0] == want
-    assert unify.fold(want)[0] == want
+    [("plain text", "plain text"), ("ｆｕｌｌ　１２", "full 12"), ("соurt", "court"), ("été", "été"), ("a​b c", "ab c"), ("ﬁne Ⅱ", "fine II"), ("كي ١٢", "کی ۱۲"), ("عـل", "عل"), ("ج‌د", "ج‌د"), ("Привет из Дельма", "Привет из Дельма"), ("“quote” — dash", "“quote” — dash"), ("", ""),
+     ("cօurt jսdge", "court judge"), ("ꓚourt", "Court"), ("Ꭺppeal", "Appeal"), ("courτ", "court"), ("Ьank", "bank"), ("Іnvoice", "Invoice"), ("в суде", "в суде")],
+)
+def test_consistent_form(spark, text, want):
+    letters = unify.alike(spark)
+    assert letters.fold(text)[0] == want
+    assert letters.fold(want)[0] == want
+
+
+def test_prototypes_span_all_scripts(spark):
+    letters = unify.alike(spark)
+    assert len(letters.strict) > 500
+    assert {letters.skeleton(w) for w in ("court", "cօurt", "cοurt", "соurt")} == {"court"}
+
+
+def segments_of(spark, texts):
+    """Documents of one or more passages each, and the segments that cut them."""
+    docs, segs = [], []
+    for (doc, blocks) in texts.items():
+        whole, at = "", 0
+        for block, t in blocks:
+            segs.append((doc, block, at, at + len(t), 1))
+            whole += t + " "
+            at = len(whole)
+        docs.append((doc, whole, "x"))
+    return spark.createDataFrame(segs, "document_id string, block_id string, char_start int, char_end int, text int"), spark.createDataFrame(docs, "document_id string, text string, block_id string")
 
 
 def test_words_of_lookalikes_need_a_latin_twin(spark):
-    df = spark.createDataFrame([("a", "1", "the саѕе here"), ("a", "2", "a case there"), ("a", "3", "слово сос слово"), ("a", "4", None), ("a", "5", "")], "document_id string, block_id string, text string")
-    got = {r.block_id: r.unified for r in unify.unify(df).collect()}
-    assert got == {"1": "the case here", "2": "a case there", "3": "слово сос слово", "5": ""}
+    texts = {"a": [("1", "the саѕе here"), ("2", "a case there"), ("5", "")], "b": [("3", "слово сос слово"), ("4", "𝐜𝐨𝐮𝐫𝐭 🙂 ok")]}
+    segs, docs = segments_of(spark, texts)
+    bad = spark.createDataFrame([("a", "9", 5, 9999, 1), ("a", "8", None, 4, 1), (None, "7", 0, 1, 1), ("zz", "6", 0, 1, 1)], segs.schema)
+    made = unify.unify(segs.unionByName(segs).unionByName(bad), docs.unionByName(docs))
+    got = {r.block_id: r.unified for r in made.collect()}
+    assert got == {"1": "the case here", "2": "a case there", "3": "слово сос слово", "4": "court 🙂 ok"} and made.count() == 4
+    assert {r.block_id for r in unify.unify(segs, docs, texts=False).filter("text != unified").collect()} == {"1", "4"}
+    assert unify.unify(segs.limit(0), docs).count() == 0
 
 
 def test_residue_is_told_from_prose():
@@ -160,12 +211,44 @@ def test_residue_is_told_from_prose():
 
     def share(t):
         (rows,), (n,) = m.score([t])
-        return sum(z - a for a, z, r, _ in rows if r > 0) / n if n else 0.0
+        return sum(z - a for a, z, r, _ in rows if r > residue.THRESHOLD) / n if n else 0.0
 
     for bad in ["{{name}} against {{other_party}}, decided on {{date}}.", "404 Not Found. The requested page was not found on this server.", "Please enable JavaScript to view this page.", "Lorem ipsum dolor sit amet, consectetur adipiscing elit.", "Petitioner: ______________\nRespondent: ______________"]:
         assert share(bad) > 0.8, bad
     assert all(share(p) == 0 for p in prose[:50])
     assert share("") == 0.0 and m.score([None])[1] == [0]
+    # held-out seeds: each tenth of the lines of a kind is judged by a model that never saw it
+    found = {}
+    for kind, seeds in residue.seed_texts().items():
+        hits = []
+        for k in range(10):
+            rest = [t for i, t in enumerate(seeds) if i % 10 != k]
+            own = residue.fit(prose, residue.seed_texts() | {kind: rest})
+            for rows, n in zip(*own.score([t for i, t in enumerate(seeds) if i % 10 == k])):
+                hits.append(sum(z - a for a, z, r, _ in rows if r > residue.THRESHOLD) >= residue.COVERAGE * n)
+        found[kind] = sum(hits) / len(hits)
+    assert found["template"] > 0.95 and min(found.values()) > 0.7, found
+
+
+def test_residue_counts_of_tables(spark):
+    texts = ["one two three", None, "", "{{name}} of {{court}} " * 50, "one two three"]
+    df = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)], "doc_id bigint, text string, residue_share double").repartition(3)
+    want = residue.count_grams(texts)
+    assert all((a == b).all() for a, b in zip(residue.corpus_counts(df), want))
+    got = {r.doc_id: r for r in residue.judge(df, residue.fit_on(df)).collect()}
+    assert len(got) == 5 and got[1].residue_share == got[2].residue_share == 0.0 and got[1].kind is None
+    assert residue.judge(df.limit(0), residue.fit_on(df.limit(0))).count() == 0
+
+
+@have_tokenizer
+def test_low_weights_fill_even_ranges(spark):
+    """Texts without letters get the least weight: their keys are spread over ranges like any others, and the sums are exact."""
+    rows = [(i, "odd" if i % 2 else "plain", "1 2 3 4 " if i % 2 else "words and more words " * 9) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("odd", 0.1, 1), ("plain", 0.9, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix(docs, targets).collect()
+    tokens_of = lambda s: sum(r.copies * r.n_tokens for r in mixed if r.source == s)
+    assert abs(tokens_of("odd") / (tokens_of("odd") + tokens_of("plain")) - 0.1) < 0.001 and all(r.copies == 1 for r in mixed)
 
 
 def test_budgets_respect_caps():
@@ -221,6 +304,25 @@ def test_a_tie_holds_when_one_of_the_two_has_merged(spark):
     assert parties_of(spark, spelt[1:]) == [sorted(spelt[1:])]
 
 
+def test_names_of_one_four_and_five_words(spark):
+    long = ["Muhammad Ali Raza Khan", "Muhamad Ali Raza Khan", "Khan, Muhammad Ali Raza", "Muhammad Ali Raza Tariq Khan"]
+    assert parties_of(spark, [*long, "Muhammad Bano Raza Qadir"]) == [sorted(long[:2])] or sorted(long[:3]) in parties_of(spark, long)
+    assert parties_of(spark, ["Muhammad Ali Raza Tariq Khan", "Muhammad Ali Raza Tariq Kahn", "MUHAMMAD ALI RAZA TARIQ KHAN"]) == [sorted(["Muhammad Ali Raza Tariq Khan", "Muhammad Ali Raza Tariq Kahn", "MUHAMMAD ALI RAZA TARIQ KHAN"])]
+    assert parties_of(spark, ["Muhammad", "MUHAMMAD", "Mr. Muhammad", "Muhammad Khan", "Zahid"]) == [sorted(["Muhammad", "MUHAMMAD", "Mr. Muhammad"])]
+
+
+def test_a_block_cut_by_third_slots_loses_no_match(spark):
+    """900 people share given and family name; every match of the uncut block is found in the cut one too."""
+    rng = random.Random(11)
+    mids = sorted({"".join(rng.choices("abdegiklmnorstuz", k=7)).capitalize() for _ in range(300)})
+    spelt = [f"Robert {m} Tugudhuri" for m in mids] + [f"Robert {m[:3] + m[4:]} Tugudhuri" for m in mids[:100]] + [f"Robert {m[1] + m[0].lower() + m[2:]} Tugudhuri" for m in mids[100:150]]
+    spelt += [f"Robert {m[1:].capitalize()} Tugudhuri" for m in mids[150:200]] + ["Robert Tugudhuri", "Robert Q. Tugudhuri"]
+    df = spark.createDataFrame([(n,) for n in sorted(set(spelt))], "name string")
+    group = lambda hot: {frozenset(r.ns) for r in names.resolve(df, GLOSSARY, [], hot=hot).groupBy("party").agg(F.collect_set("name").alias("ns")).collect()}
+    whole = group(10**9)
+    assert group(20) == whole and max(map(len, whole)) < 10 and sum(len(g) > 1 for g in whole) >= 150
+
+
 def test_two_own_words_join_their_organisation(spark):
     orgs = ["Creltadom Leiyak Engineering Works Limited", "CRELTADOM LEIYAK ENGG. WKS. LTD."]
     assert parties_of(spark, [*orgs, "Creltadom Leiyak", "Creltadom-Leiyak", "Robert Tugudhuri"]) == [sorted([*orgs, "Creltadom Leiyak", "Creltadom-Leiyak"])]
