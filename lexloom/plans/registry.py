@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FLAGSHIP = "tk01_rank_fusion"
-MODULES = ["keyed", "scalars", "relations", "analytics", "records"]
+MODULES = ["keyed", "scalars", "relations", "analytics", "records", "legal"]
 
 
 def _modules():
