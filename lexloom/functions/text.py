@@ -119,24 +119,6 @@ def to_iso(printed) -> Column:
     return F.date_format(F.coalesce(iso, dmy, long, us), "yyyy-MM-dd")
 
 
-# Fixed values: (kind, cue) of the document classifier; the order breaks ties.
-KINDS = [
-    ("judgment", "in control of|having failed to establish|examined as"), ("order_sheet", "adjourned to|process server|placed on the file"),
-    ("statute", "no person shall|the government may make rules|whoever contravenes"), ("notification", "^[a-z ]+, [0-9a-z .,]+\\. no\\. [0-9]+/[0-9]+"),
-    ("affidavit", "affidavit|solemnly affirm|deponent"), ("error_page", "not found|internal server error|enable javascript"),
-]
-
-
-def classify(text) -> Column:
-    """(kind, confidence): a cue in the first 400 characters counts 3, elsewhere 1; under 1 unknown; confidence top/(top+next)."""
-    low = F.lower(c(text))
-    head = F.substring(low, 1, 400)
-    scores = [F.when(head.rlike(p), 3).when(low.rlike(p), 1).otherwise(0) for _, p in KINDS]
-    ranked = F.sort_array(F.array(*[F.struct((-s).alias("s"), F.lit(i).alias("i"), F.lit(k).alias("k")) for i, (s, (k, _)) in enumerate(zip(scores, KINDS))]))
-    top, nxt = -ranked[0]["s"], -ranked[1]["s"]
-    return F.struct(F.when(top >= 1, ranked[0]["k"]).otherwise("unknown").alias("kind"), F.when(top >= 1, F.round(top / (top + nxt), 4)).otherwise(0.0).alias("confidence"))
-
-
 # Roles of a cited provision and the cues of its sentence, first match wins.
 ROLES = [("charge", "contravenes|registered a report|liable to"), ("relief", "order|relief|claim invokes|application"), ("benchmark", "urged|attracted|reliance"), ("ratio", "held|provides|read with")]
 

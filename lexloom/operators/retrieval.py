@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,30 +20,6 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def bm25_statistics(posting: DataFrame, docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(term, df, idf), (key, dl) and one row (n_docs, avgdl)."""
-    lengths = docs.select(key, F.coalesce(F.size(tokens(text)), F.lit(0)).alias("dl"))
-    whole = lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    df = posting.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    # whole is one row
-    return df.crossJoin(F.broadcast(whole)).select("term", "df", idf.alias("idf")), lengths, whole
-
-
-def bm25_scores(queries: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """query_id, key, score of every document that shares a term with a query. queries: query_id, text; docs: key, text, unique by key.
-
-    The queries' own terms are joined first, so that only their postings are scored; a hot term's postings stay spread,
-    since the small query side is what a size-checked join plan (AQE) broadcasts.
-    """
-    asked = queries.select("query_id", F.explode(tokens("text")).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-    posting = postings(docs, key, text)
-    stats, lengths, whole = bm25_statistics(posting, docs, key, text)
-    hit = posting.join(asked.join(stats, "term"), "term").join(lengths, key).crossJoin(F.broadcast(whole))
-    gain = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return hit.groupBy("query_id", key).agg(F.sum(F.col("qtf") * gain).alias("score"))
-
-
 def ranked(scores: DataFrame, key: str, depth: int, by: str = "query_id", score: str = "score") -> DataFrame:
     """scores with rank 1..depth per query: score descending, then key; zero and negative scores dropped."""
     w = Window.partitionBy(by).orderBy(F.desc(score), F.asc(key))
@@ -56,16 +37,52 @@ def fuse(legs: list[tuple[str, DataFrame]], key: str, k: int = 60, limit: int =
     return summed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).select("query_id", key, "score", "rank")
 
 
-def dense_top(queries: DataFrame, vectors: DataFrame, depth: int) -> DataFrame:
+BLOCK = 1024  # queries scored in one pass over the vectors
+
+
+def dense_top(queries: DataFrame, vectors: DataFrame, depth: int, block: int = BLOCK) -> DataFrame:
     """query_id, vec_id, score, rank: cosine of every query vector against all vectors, positive scores only.
 
-    queries (query_id, embedding) is a stated query set, joined to all rows in blocks; each partition keeps its own best
-    `depth` per query before anything is shuffled (a partial top-k by the window's group limit).
+    queries (query_id, embedding) is a stated query set. It is taken in blocks of about `block` queries: a block's vectors, a
+    matrix of a fixed size, go to every task, which scores its own rows in matrix products and hands on only its best `depth` of
+    each query. Null and zero vectors score nothing.
     """
-    unit = lambda df, k: df.select(k, F.expr("transform(embedding, x -> cast(x as double) / sqrt(aggregate(embedding, cast(0 as double), (a, y) -> a + cast(y as double) * y)))").alias("e"))
-    q, v = unit(queries, "query_id").select("query_id", F.col("e").alias("qe")), unit(vectors, "vec_id")
-    dot = F.aggregate(F.zip_with("qe", "e", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    return ranked(v.join(q).select("query_id", "vec_id", F.round(dot, 9).alias("score")), "vec_id", depth)
+    n = max(1, -(-queries.count() // block))
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((queries, "query_id"), (vectors, "vec_id"))]
+    out = None
+    for k in range(n):
+        rows = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == k).filter("embedding IS NOT NULL").select("query_id", "embedding").collect()  # a block
+        part = _top_of_block([r.query_id for r in rows], _unit(np.array([r.embedding for r in rows], float)), vectors, depth, *kinds)
+        out = part if out is None else out.unionByName(part)
+    return ranked(out, "vec_id", depth)
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(m, axis=-1, keepdims=True) if m.size else np.ones((len(m), 1))
+    return m / np.where(norm == 0, 1, norm)
+
+
+def _top_of_block(ids: list, asked: np.ndarray, vectors: DataFrame, depth: int, query_kind: str, key_kind: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(0)
+            flat, sizes = b.column(1), pa.compute.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
+            width = asked.shape[1] if asked.size else 0
+            good = np.flatnonzero(sizes == width)
+            if not width or not len(good):
+                continue
+            held = _unit(np.stack([np.asarray(flat[int(i)].values, float) for i in good]) if len(good) < len(sizes) else flat.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width))
+            score = np.round(held @ asked.T, 9)
+            names = keys.take(pa.array(good)).to_pylist()
+            order = np.argsort(np.array(names), kind="stable")
+            best = [order[np.argsort(-score[order, q], kind="stable")[:depth]] for q in range(len(ids))]
+            pick = np.concatenate(best)
+            of = np.repeat(np.arange(len(ids)), [len(x) for x in best])
+            values = score[pick, of]
+            keep = values > 0
+            yield pa.RecordBatch.from_pydict({"query_id": [ids[q] for q in of[keep]], "vec_id": [names[i] for i in pick[keep]], "score": values[keep]})
+
+    return vectors.select("vec_id", "embedding").mapInArrow(run, f"query_id {query_kind}, vec_id {key_kind}, score double")
 
 
 def recall_mrr(hits: DataFrame, gold: DataFrame, key: str) -> DataFrame:

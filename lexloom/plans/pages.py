@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexloom.functions.kinds import kind, segments
 from lexloom.operators import pages as P
 from lexloom.plans.cases import Cases
 from lexloom.plans.legal import numbered
@@ -107,6 +108,12 @@ C.add("fn44_facts_text", "case_no int, text string, ocr boolean", numbered([f[:2
 _PN = [("Page 12 of 30", None, "12"), ("text", "- 7 -", "7"), ("5 The Court", "x", "5"), ("none", None, None)]
 C.add("src35_printed_page_number", "case_no int, head string, foot string", numbered([p[:2] for p in _PN]), lambda df: df.select("case_no", P.printed_number(F.col("head"), F.coalesce("foot", F.lit(""))).alias("number")), "case_no int, number string", numbered([p[2] for p in _PN]))
 
+_FILE = "document_id string, page int, text string"
+C.add("wn12_page_segmentation", _FILE, [("f", 1, "JUDGMENT SHEET\nA versus B. The appeal is dismissed."), ("f", 2, "judgment continued"), ("f", 3, "AFFIDAVIT\nI, the deponent, do solemnly affirm"), ("f", 4, "nothing here"), ("g", 1, None)],
+      lambda df: segments(df).select("document_id", "first_page", "last_page", "kind"), "document_id string, first_page int, last_page int, kind string", [("f", 1, 2, "judgment"), ("f", 3, 4, "affidavit"), ("g", 1, 1, "unknown")])
+_KINDS = [("FIRST INFORMATION REPORT under section 154 at Police Station X", "fir", 1.0), ("JUDGMENT\nA versus B. The petition stands dismissed.", "judgment", 1.0), ("Dear Sir, our ref: 5. Yours faithfully", "letter", 1.0), ("x" * 500 + " judgment versus", "unknown", 0.0), ("AFFIDAVIT in the writ petition", "pleading", 0.5), ("", "unknown", 0.0)]
+C.add("fn40_kind_cases", "case_no int, text string", numbered([k[0] for k in _KINDS]), lambda df: df.select("case_no", kind(F.col("text")).alias("k")).select("case_no", "k.kind", "k.confidence"), "case_no int, kind string, confidence double", numbered([k[1:] for k in _KINDS]))
+
 # whole tables
 C.table("ag18_paras_bands", lambda spark, d: P.repeated_bands(load(spark, d, "paras").filter("text IS NOT NULL").withColumn("height", F.lit(842.0))),
         """SELECT document_id, band, key FROM (SELECT DISTINCT document_id, page, trim(regexp_replace(regexp_replace(lower(text), '[0-9]+', '#', 'g'), '\\s+', ' ', 'g')) AS key,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import text as T
 from lexloom.operators import retrieval as R
 from lexloom.operators import spans as S
+from lexloom.operators.index import stored_index
 from lexloom.plans.scalars import QUALITY_SQL
 from lexloom.tables import load
 
@@ -142,12 +143,16 @@ _BM25 = """WITH c AS (SELECT id, min(text) AS text FROM chunks WHERE text IS NOT
 
 @query("ag01_bm25_statistics", _BM25 + " SELECT term, df, round(idf, 6) AS idf FROM f")
 def ag01(spark, d):
-    c = _chunks(spark, d)
-    return R.bm25_statistics(R.postings(c, "id", "text"), c, "id", "text")[0].select("term", "df", F.round("idf", 6).alias("idf"))
+    return index_of(spark, d).terms.select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+def index_of(spark, d):
+    """The stored index of the chunks' texts: built once for the files as they are, then opened."""
+    return stored_index(_chunks(spark, d), "id", "text", "chunks", load(spark, d, "chunks"))
 
 
 def bm25(spark, d, depth=100):
-    s = R.bm25_scores(_questions(spark, d), _chunks(spark, d), "id", "text").withColumn("score", F.round("score", 6))
+    s = index_of(spark, d).scores(_questions(spark, d)).withColumn("score", F.round("score", 6))
     return R.ranked(s, "id", depth)
 
 

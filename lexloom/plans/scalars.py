@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as T
+from lexloom.functions.kinds import kind, kind_sql
 from lexloom.tables import load
 
 QUERIES, SQL = {}, {}
@@ -126,18 +127,10 @@ def fn22(spark, d):
     return load(spark, d, "documents").filter("decision_date IS NOT NULL").select("doc_id", F.col("decision_date").alias("printed"), T.to_iso("decision_date").alias("iso"))
 
 
-def _classify_sql() -> str:
-    score = ", ".join(f"CASE WHEN regexp_matches(head, '{p}') THEN 3 WHEN regexp_matches(low, '{p}') THEN 1 ELSE 0 END AS s{i}" for i, (_, p) in enumerate(T.KINDS))
-    rows = " UNION ALL ".join(f"SELECT doc_id, s{i} AS s, {i} AS i, '{k}' AS k FROM x" for i, (k, _) in enumerate(T.KINDS))
-    return f"""WITH t AS (SELECT doc_id, lower(text) AS low, substr(lower(text), 1, 400) AS head FROM documents WHERE text IS NOT NULL),
-      x AS (SELECT doc_id, {score} FROM t), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, i) AS n FROM ({rows}))
-      SELECT a.doc_id, CASE WHEN a.s >= 1 THEN a.k ELSE 'unknown' END AS kind, CASE WHEN a.s >= 1 THEN round(a.s / (a.s + b.s), 4) ELSE 0.0 END AS confidence
-      FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.n = 1 AND b.n = 2"""
-
-
-@query("fn40_document_kind", _classify_sql())
+@query("fn40_document_kind", kind_sql("documents", "doc_id"))
 def fn40(spark, d):
-    return load(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", T.classify("text").alias("c")).select("doc_id", "c.kind", "c.confidence")
+    rows = load(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", kind(F.col("text")).alias("c"))
+    return rows.select("doc_id", "c.kind", F.round("c.confidence", 4).alias("confidence"))
 
 
 def _ladder(col, pairs, default) -> str:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as T
-from lexloom.operators import hotkeys, retrieval, spans
+from lexloom.operators import hotkeys, index, retrieval, spans
 from lexloom.sources import files
 from lexloom.streaming.ingest import ingest, stream_table
 
@@ -80,12 +80,13 @@ def test_title_links_prefer_the_shortest_title_and_the_year(spark):
     assert {r.name: r.statute_id for r in spans.link_titles(names, st).collect()} == {"a": "1", "b": "2"}
 
 
-def test_bm25_fusion_and_recall(spark):
+def test_bm25_fusion_and_recall(spark, tmp_path):
     docs = spark.createDataFrame([("1", "red fox red"), ("2", "blue fox"), ("3", ""), ("4", None)], "id string, text string")
     q = spark.createDataFrame([(1, "red"), (2, "fox"), (3, "none")], "query_id int, text string")
-    hits = retrieval.ranked(retrieval.bm25_scores(q, docs, "id", "text"), "id", 10)
+    hits = retrieval.ranked(index.TextIndex.build(docs, "id", "text", f"{tmp_path}/index").scores(q), "id", 10)
     rows = {(r.query_id, r.id): r.rank for r in hits.collect()}
     assert rows == {(1, "1"): 1, (2, "2"): 1, (2, "1"): 2}
+    assert index.TextIndex.open(spark, f"{tmp_path}/index", "id").whole.first().n_docs == 4
     f = retrieval.fuse([("a", hits.select("query_id", "id", "rank")), ("b", hits.select("query_id", "id", "rank"))], "id")
     gold = spark.createDataFrame([(1, "k", "1"), (2, "k", "1")], "query_id int, kind string, id string")
     m = retrieval.recall_mrr(f, gold, "id").first()
@@ -195,3 +196,40 @@ def test_scopes_delete_what_they_do_not_keep(spark):
     assert joined.count() == 1000 and joined.filter("key = 'hot'").count() == 500
     assert lookup(rows, table.filter("key = 'hot'"), "key", 1, "left", hot=100, limit=0).filter("v IS NULL").count() == 500
     assert sweep(spark) >= 1 and not _LEFT
+
+
+def test_dense_search_in_blocks_against_brute_force(spark):
+    rng = random.Random(3)
+    vecs = [(i, [rng.uniform(-1, 1) for _ in range(5)]) for i in range(200)] + [(900, None), (901, [0.0] * 5)]
+    v = spark.createDataFrame(vecs, "vec_id bigint, embedding array<double>").repartition(5)
+    q = v.filter("vec_id % 7 = 0").withColumnRenamed("vec_id", "query_id")
+    norm = lambda x: sum(t * t for t in x) ** 0.5 or 1.0
+    cos = lambda a, b: round(sum(s * t for s, t in zip(a, b)) / norm(a) / norm(b), 9)
+    full = {i: x for i, x in vecs if x}
+    want = {a: [b for _, b in sorted((-cos(full[a], full[b]), b) for b in full if cos(full[a], full[b]) > 0)[:4]] for a in full if a % 7 == 0}
+    got = {}
+    for r in sorted(retrieval.dense_top(q, v, 4, block=9).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {a: b for a, b in want.items() if b}
+    assert retrieval.dense_top(q.limit(0), v, 4).count() == 0
+
+
+def test_closure_against_union_find(spark):
+    from lexloom.operators.closure import closure
+
+    rng = random.Random(9)
+    pairs = [(f"n{rng.randint(0, 90):02}", f"n{rng.randint(0, 90):02}") for _ in range(70)] + [(f"c{i:02}", f"c{i + 1:02}") for i in range(40)] + [("s", "s"), (None, "x")]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        if a and b:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert {r.value: r.root for r in closure(df, "a", "b").collect()} == {x: find(x) for x in root}
+    assert closure(df.limit(0), "a", "b").count() == 0
