@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +35,15 @@ def output_names(files: DataFrame) -> DataFrame:
 
 
 def raw_log(spark: SparkSession, path: str) -> DataFrame:
-    """page_number, raw of a JSONL log: unreadable lines are skipped, of several records of a page the last line wins."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.from_json("value", "page_number int, raw string").alias("r"))
-    return lines.filter("r.page_number IS NOT NULL").groupBy(F.col("r.page_number").alias("page_number")).agg(F.max_by("r.raw", "line").alias("raw"))
+    """page_number, raw of JSONL logs: unreadable lines are skipped, of several records of a page the last line of the last file
+    (by name) wins, however the files are split."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start")).alias("block"), F.monotonically_increasing_id().alias("line"), F.from_json("value", "page_number int, raw string").alias("r"))
+    return lines.filter("r.page_number IS NOT NULL").groupBy(F.col("r.page_number").alias("page_number")).agg(F.max_by("r.raw", F.struct("file", "block", "line")).alias("raw"))
 
 
 def sidecar_titles(spark: SparkSession, path: str) -> DataFrame:
     """file, title: the first line of each text file's first 20 that names an instrument."""
-    df = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.slice(F.split("value", "\n"), 1, 20).alias("lines"))
+    df = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.slice(F.split("value", "\n"), 1, 20).alias("lines"))
     hit = F.filter("lines", lambda x: F.upper(x).rlike(r"\b(ACT|ORDINANCE|CODE|RULES|REGULATION)\b"))
     return df.select("file", F.trim(F.try_element_at(hit, F.lit(1))).alias("title"))
 
@@ -70,7 +73,7 @@ def email_records(spark: SparkSession, path: str) -> DataFrame:
 
 def check_output(out: str, inputs: list[str]) -> str:
     """out, unless it is or lies inside an input folder."""
-    clean = lambda p: p.rstrip("/") + "/"
+    clean = lambda p: posixpath.normpath(p).rstrip("/") + "/"
     if any(clean(out).startswith(clean(i)) for i in inputs):
         raise ValueError(f"{out} lies inside an input folder")
     return out
