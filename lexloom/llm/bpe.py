@@ -12,7 +12,6 @@ all pairs together.
 
 from __future__ import annotations
 
-import base64
 import heapq
 import json
 import os
@@ -32,12 +31,17 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(moved)}
 
 
+def read_file(directory: str, name: str) -> bytes:
+    with open(os.path.join(directory, name), "rb") as f:
+        return f.read()
+
+
 class ByteBPE:
     """A vocabulary of token bytes, its merges, and the cache of words already encoded."""
 
-    def __init__(self, directory: str = TOKENIZER_DIR, name: str = "byte_bpe_50k.json", cache_words: int = 200_000):
-        with open(os.path.join(directory, name), encoding="utf-8") as f:
-            model = json.load(f)["model"]
+    def __init__(self, directory: str = TOKENIZER_DIR, name: str = "byte_bpe_50k.json", cache_words: int = 200_000, content: bytes | None = None):
+        """content: the vocabulary file's bytes, where it isn't to be read from the directory."""
+        model = json.loads(content if content is not None else read_file(directory, name))["model"]
         alphabet = _byte_alphabet()
         as_bytes = lambda s: bytes(alphabet[c] for c in s)
         vocab = {s: i for s, i in model["vocab"].items() if all(c in alphabet for c in s)}
@@ -161,9 +165,3 @@ class ByteBPE:
             if len(self.words) > 2 * self.cache_words:
                 self.words.clear()
         return out
-
-
-def load_ranks(directory: str, name: str) -> dict[bytes, int]:
-    """A rank file: token bytes to id."""
-    with open(os.path.join(directory, name), "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}

@@ -7,16 +7,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm.bpe import TOKENIZER_DIR, ByteBPE
+from lexloom.llm.bpe import TOKENIZER_DIR, ByteBPE, read_file
 from lexloom.tables import load
 
 _MODELS: dict[tuple[str, str], ByteBPE] = {}
 
 
-def model(directory: str, name: str) -> ByteBPE:
-    """One vocabulary per Python worker."""
+def model(directory: str, name: str, content: bytes | None = None) -> ByteBPE:
+    """One vocabulary per Python worker, made from the file's bytes where they were sent."""
     if (directory, name) not in _MODELS:
-        _MODELS[directory, name] = ByteBPE(directory, name)
+        _MODELS[directory, name] = ByteBPE(directory, name, content=content)
     return _MODELS[directory, name]
 
 
@@ -41,9 +41,11 @@ def encode(df: DataFrame, key: str, text: str = "text", directory: str = TOKENIZ
     special tokens written out in a text are ordinary text; further columns are not read. One pass without a shuffle.
     """
     kind = df.schema[key].dataType.simpleString()
+    # the driver reads the vocabulary (a file of fixed size) and sends it along: workers need no such folder
+    sent = df.sparkSession.sparkContext.broadcast(read_file(directory, name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model(directory, name)
+        bpe = model(directory, name, sent.value)
         for b in batches:
             for start, texts in _batches(b.column(0), b.column(1)):
                 keys, ids = b.column(0).slice(start, len(texts)), bpe.encode_batch(texts)
