@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (local runs)."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="lexloom-")
         spark.conf.set(CHECKPOINT_KEY, named)
