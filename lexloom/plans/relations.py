@@ -361,10 +361,10 @@ def tk05(spark, d):
     return load(spark, d, "documents").select("doc_id", T.quality("text").alias("q")).orderBy("q", "doc_id").limit(10)
 
 
-@query("tk06_stratified_sample")
+@query("tk06_stratified_sample", """SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR || '|11'), doc_id) AS k FROM documents) WHERE k <= 5""")
 def tk06(spark, d):
     """Five documents of each source, drawn by a seeded hash."""
-    w = Window.partitionBy("source").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id")
+    w = Window.partitionBy("source").orderBy(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("|11"))), "doc_id")
     return load(spark, d, "documents").select("source", "doc_id").withColumn("k", F.row_number().over(w)).filter("k <= 5").select("source", "doc_id")
 
 

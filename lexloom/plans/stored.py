@@ -37,8 +37,7 @@ def filed(name: str, tree: dict[str, str], op, ddl: str, rows: list) -> None:
     SQL[name] = values_sql(ddl, rows)
 
 
-_tail = F.element_at(F.split("path", "/"), -1)
-filed("src01_expand_paths", {"a.pdf": "x", "in/b.pdf": "xy", "in/c.txt": "", "in/deep/d.PDF.pdf": "xyz"}, lambda spark, root: files.input_files(spark, root).select(_tail.alias("name"), "length").orderBy("path"), "name string, length bigint", [("a.pdf", 1), ("b.pdf", 2), ("d.PDF.pdf", 3)])
+filed("src01_expand_paths", {"a.pdf": "x", "in/b.pdf": "xy", "in/c.txt": "", "in/deep/d.PDF.pdf": "xyz"}, lambda spark, root: files.input_files(spark, root).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length").orderBy("path"), "name string, length bigint", [("a.pdf", 1), ("b.pdf", 2), ("d.PDF.pdf", 3)])
 filed("src14_raw_log", {"log.jsonl": '{"page_number": 1, "raw": "one"}\nbroken\n{"page_number": 2, "raw": "two"}\n{"page_number": 1, "raw": "again"}\n{"raw": "no page"}\n'}, files.raw_log, "page_number int, raw string", [(1, "again"), (2, "two")])
 filed("src26_parsed_folder", {"a.json": '{"document": {"id": "A"},\n "pages": [{"page_number": 1}]}', "manifest.json": '{"document": {"id": "M"}}', "bad.json": "{not json", "b.json": '{"document": {"id": "B"}, "pages": []}'},
       lambda spark, root: files.parsed_folder(spark, root, "document struct<id:string>, pages array<struct<page_number:int>>").select("stem", F.col("document.id").alias("id"), F.size("pages").alias("pages")), "stem string, id string, pages int", [("a", "A", 1), ("b", "B", 0)])
