@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FLAGSHIP = "tk01_rank_fusion"
-MODULES = ["keyed", "scalars", "relations", "analytics", "records", "legal", "pages", "graph", "stored", "statutes", "labels", "exports"]
+MODULES = ["keyed", "scalars", "relations", "analytics", "records", "legal", "pages", "graph", "stored", "statutes", "labels", "exports", "identity"]
 
 
 def _modules():
