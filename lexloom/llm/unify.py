@@ -196,7 +196,8 @@ def lookalike_groups(passages: DataFrame) -> DataFrame:
     words = materialise(words, "words")
     odd = ~F.col("word").rlike(PLAIN)
     skeleton = F.pandas_udf(lambda w: w.map(letters.skeleton), "string")
-    named = words.filter(odd).withColumn("skeleton", skeleton("word")).unionByName(words.filter(~odd & F.col("word").rlike(r"^\p{ASCII}*$")).withColumn("skeleton", F.col("word")))
+    ascii_only = F.col("word").rlike(r"^\p{ASCII}*$")  # such a word is its own skeleton
+    named = words.filter(~ascii_only).withColumn("skeleton", skeleton("word")).unionByName(words.filter(ascii_only).withColumn("skeleton", F.col("word")))
     return named.groupBy("skeleton").agg(F.count("*").alias("n_forms"), F.sum("n").alias("n_words"), F.max(odd.cast("int")).alias("_odd")).filter("_odd = 1 AND n_forms > 1").drop("_odd")
 
 

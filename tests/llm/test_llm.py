@@ -219,6 +219,12 @@ def test_words_of_lookalikes_need_a_latin_twin(spark):
     assert unify.unify(segs.limit(0), docs).count() == 0
 
 
+def test_groups_hold_plain_words_with_accents_too(spark):
+    rows = [("caf\u00e9 cafe\u0301 caf\u00e9",), ("court c\u043eurt",), ("d\u00e9j\u00e0 vu",), (None,)]
+    got = {(r.skeleton, r.n_forms, r.n_words) for r in unify.lookalike_groups(spark.createDataFrame(rows, "text string")).collect()}
+    assert got == {("cafe\u0301", 2, 3), ("court", 2, 2)}
+
+
 def test_residue_is_told_from_prose():
     rng = random.Random(6)
     nouns, verbs = ["lease", "order", "claim", "witness", "court", "record", "appeal"], ["held", "signed", "denied", "considered", "produced"]
