@@ -93,6 +93,35 @@ def test_bm25_fusion_and_recall(spark, tmp_path):
     assert (m.mrr, m.recall_1, m.recall_5) == (0.75, 0.5, 1.0)
 
 
+def test_bm25_top_moves_only_the_best_of_each_task(spark, tmp_path):
+    """The best of small segments are those of all scores, ties by key, and few other pairs leave the tasks."""
+    rng = random.Random(4)
+    docs = [(f"d{i:04d}", " ".join(rng.choice(("of", "the", "land", "court", f"{rng.randint(0, 40)}w")) for _ in range(rng.randint(0, 12)))) for i in range(900)] + [("e", None)]
+    asked = [(i, f"of the {rng.randint(0, 40)}w court") for i in range(40)] + [(98, "of of the"), (99, "unknown")]
+    q = spark.createDataFrame(asked, "query_id int, text string")
+    built = index.TextIndex.build(spark.createDataFrame(docs, "id string, text string").repartition(3), "id", "text", f"{tmp_path}/index", size=64)
+    every = retrieval.ranked(built.scores(q).withColumn("score", F.round("score", 6)), "id", 10)
+    top = built.top(q, 10, block=15)
+    kept = top.count()
+    best = retrieval.ranked(top, "id", 10)
+    assert {(r.query_id, r.id, r.rank) for r in best.collect()} == {(r.query_id, r.id, r.rank) for r in every.collect()} and best.count() == 410
+    assert kept <= 41 * 10 * spark.sparkContext.defaultParallelism < built.scores(q).count()
+    tf = Counter(t for _, t in docs if t for t in set(t.split()))
+    assert {(r.term, r.df) for r in built.terms.collect()} == set(tf.items())
+    assert built.whole.first().n_docs == 901
+
+
+def test_title_words_are_numbered_once_for_all_queries(spark, tmp_path):
+    from lexloom.plans import relations
+
+    spark.createDataFrame([(50 * k, "Harun Bodil" if k < 40 else "Zahid") for k in range(41)], "candidate_id bigint, petitioner string").write.parquet(f"{tmp_path}/candidates.parquet")
+    spark.createDataFrame([(f"c{k:03d}", "Harun v. Harun") for k in range(150)] + [("d", "zahid")], "id string, title string").write.parquet(f"{tmp_path}/chunks.parquet")
+    got = relations._exact(spark, str(tmp_path))
+    assert relations._title_words(spark, str(tmp_path)).count() == 151
+    assert Counter(r.query_id for r in got.collect()) == {**{50 * k: 100 for k in range(40)}, 2000: 1}
+    assert {(r.id, r["rank"]) for r in got.filter("query_id = 0").collect()} == {(f"c{k:03d}", k + 1) for k in range(100)}
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame([("The Act, 12b x",), ("",), (None,)], "t string")
     assert [r[0] for r in df.select(T.tokens("t")).collect()] == [["the", "act", "12b", "x"], [], None]
