@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.llm.boost import BoostedTrees
@@ -524,7 +524,8 @@ def fit_ranker(known: dict[str, int], bound: int = SAMPLE_WORDS, seed: int = 5)
     return BoostedTrees(rounds=40).fit(pair_features(a, b, c, d), np.array(y))
 
 
-GRAM = 3
+GRAM, EDITS = 3, 2
+RAREST = GRAM * EDITS + 1  # an edit spoils GRAM q-grams at most, so of so many one is left
 
 
 def _grams(word):
@@ -543,9 +544,9 @@ def _undone(word):
 def candidates(words: DataFrame, counts: DataFrame) -> DataFrame:
     """word, n, other, m: counted words, COMMONER times as frequent, that `word` may be a misreading of.
 
-    A correction must differ by a known confusion or the word hold a sign. The first kind is found exactly, each confusion undone
-    at each place and looked up. Words with signs also meet what two undone confusions give (numbers do not) and every counted word that
-    shares any q-gram with them, within two edits and one character of length.
+    Every word meets every counted word that shares any q-gram with it, within EDITS edits and one character of length: the inverted
+    join looks up its RAREST rarest q-grams (all of a shorter word), of which such words share one. It also meets what one undone
+    confusion gives, at any place, and, if it holds a sign and is no number, what two give.
     """
     vocabulary = counts.filter((F.col("n") >= TRUSTED) & F.col("word").rlike(r"^[a-z]+(?:[-'][a-z]+)*$") & (F.length("word") >= 3)).select(F.col("word").alias("other"), F.col("n").alias("m"))
     posting = materialise(vocabulary.select(F.explode(_grams(F.col("other"))).alias("g"), "other", "m"), "postings")
@@ -554,9 +555,13 @@ def candidates(words: DataFrame, counts: DataFrame) -> DataFrame:
     # a number with letters in it is read as one, not as a word damaged twice
     twice = signed.filter(~F.col("word").rlike(r"^[\dlo]+$")).select("word", "n", F.explode(F.array_distinct(F.flatten(F.transform(_undone(F.col("word")), _undone)))).alias("other"))
     met = once.unionByName(twice).join(vocabulary, "other").select("word", "n", "other", "m")
-    near = signed.select("word", "n", F.explode(_grams(F.col("word"))).alias("g")).join(posting, "g").select("word", "n", "other", "m")
+    often = F.broadcast(posting.groupBy("g").agg(F.count("*").alias("df")))  # as many rows as there are q-grams of letters
+    grams = words.select("word", "n", F.explode(_grams(F.col("word"))).alias("g")).join(often, "g", "left")
+    rarest = Window.partitionBy("word").orderBy(F.coalesce("df", F.lit(0)), "g")
+    rare = grams.withColumn("_k", F.row_number().over(rarest)).filter(F.col("_k") <= RAREST).filter("df IS NOT NULL")
+    near = rare.join(posting, "g").select("word", "n", "other", "m")
     apart = (F.col("word") != F.col("other")) & (F.abs(F.length("word") - F.length("other")) <= 1) & (F.col("m") >= COMMONER * F.col("n"))
-    return met.unionByName(near).filter(apart).distinct().filter(F.levenshtein("word", "other", 2) >= 0)
+    return met.unionByName(near).filter(apart).filter(F.levenshtein("word", "other", EDITS) >= 0).distinct()
 
 
 def misread_words(words: DataFrame, counts: DataFrame, ranker: BoostedTrees) -> DataFrame:

@@ -1,5 +1,6 @@
 """The training-data operators on small tables, against brute force, round trips and true cases."""
 
+import json
 import os
 import random
 import string
@@ -345,6 +346,25 @@ def test_a_block_cut_by_third_slots_loses_no_match(spark):
     assert group(20) == whole and max(map(len, whole)) < 10 and sum(len(g) > 1 for g in whole) >= 150
 
 
+def test_a_task_keeps_no_more_words_than_it_may(monkeypatch):
+    monkeypatch.setattr(names, "KNOWN", 10)
+    g = names.Glossary([("Ind.", "Industries", "abbreviation")])
+    found = [g.activity_of(w) for k in range(50) for w in (f"word{k}", "ind")]
+    assert found == [None, "industries"] * 50 and len(g._known) <= 10
+
+
+def test_keys_of_a_merged_party_are_rows_of_both_slots(spark):
+    given, family = [f"ab{c}" for c in "cdefgh"], [f"xyz{c}" for c in "mnopq"]
+    profile = {"kind": "person", "full": True, "slots": [given, [], family]}
+    table = spark.createDataFrame([(1, True, json.dumps(profile))], "cid bigint, fresh boolean, profile string")
+    keys = names.block_keys(table)
+    less = len({w[:i] + w[i + 1 :] for w in family for i in range(4)} | set(family))
+    # given exact and family nearly, the other way round, and both once more as the words of an organisation
+    assert keys.count() == keys.distinct().count() == 2 * (6 * less + 5 * 6)
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 4 and {r.third for r in keys.collect()} == {1}
+
+
 def test_two_own_words_join_their_organisation(spark):
     orgs = ["Creltadom Leiyak Engineering Works Limited", "CRELTADOM LEIYAK ENGG. WKS. LTD."]
     assert parties_of(spark, [*orgs, "Creltadom Leiyak", "Creltadom-Leiyak", "Robert Tugudhuri"]) == [sorted([*orgs, "Creltadom Leiyak", "Creltadom-Leiyak"])]
@@ -373,6 +393,17 @@ def test_every_single_confusion_meets_its_word(spark):
     assert {(r.word, r.other) for r in scans.candidates(asked, spark.createDataFrame([("zozo", 100), ("handed", 100)], "word string, n bigint")).collect()} == {("h@ndcd", "handed")}
 
 
+def test_every_word_meets_those_that_share_a_qgram(spark):
+    rng = random.Random(6)
+    known = {"".join(rng.choices("abcde", k=rng.randint(3, 12))) for _ in range(250)} | {"judgment"}
+    asked = {"".join(rng.choices("abcde", k=rng.randint(3, 12))) for _ in range(120)} | {"judgmemt", "iudqment"}
+    grams = lambda w: {f"^{w}$"[i : i + 3] for i in range(len(w))}
+    want = {(w, c) for w in asked for c in known if w != c and grams(w) & grams(c) and abs(len(w) - len(c)) < 2 and scans.distance(w, c) <= 2}
+    table = lambda ws, n: spark.createDataFrame([(w, n) for w in sorted(ws)], "word string, n bigint")
+    got = {(r.word, r.other) for r in scans.candidates(table(asked, 1), table(known, 100)).collect()}
+    assert {("judgmemt", "judgment"), ("iudqment", "judgment")} <= want and not want - got
+
+
 def digital_documents(n, seed):
     """Documents without furniture: an opening that names case and parties, then paragraphs of running words and numbers."""
     rng = random.Random(seed)
